@@ -4,17 +4,27 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import line_rules, mixing, secrets, token_counts
+from millrace.llm import line_rules, mixing, secrets, sequences, token_counts, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(_documents(spark, sf_dir))
 
 
+def op4_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return sequences.token_files(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -29,5 +39,5 @@ def op9_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_rules(_documents(spark, sf_dir))
 
 
-QUERIES = {"op3_mixing": op3_mixing, "op6_token_counts": op6_token_counts, "op8_secrets": op8_secrets, "op9_line_rules": op9_line_rules}
+QUERIES = {"op1_warc": op1_warc, "op4_sequences": op4_sequences, "op3_mixing": op3_mixing, "op6_token_counts": op6_token_counts, "op8_secrets": op8_secrets, "op9_line_rules": op9_line_rules}
 ORACLES: dict[str, str] = {}
