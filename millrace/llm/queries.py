@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import line_rules, mixing, secrets, sequences, token_counts, warc
+from millrace.llm import decontaminate, line_rules, mixing, secrets, sequences, token_counts, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -39,5 +39,9 @@ def op9_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.line_rules(_documents(spark, sf_dir))
 
 
-QUERIES = {"op1_warc": op1_warc, "op4_sequences": op4_sequences, "op3_mixing": op3_mixing, "op6_token_counts": op6_token_counts, "op8_secrets": op8_secrets, "op9_line_rules": op9_line_rules}
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+QUERIES = {"op10_decontaminate": op10_decontaminate, "op1_warc": op1_warc, "op4_sequences": op4_sequences, "op3_mixing": op3_mixing, "op6_token_counts": op6_token_counts, "op8_secrets": op8_secrets, "op9_line_rules": op9_line_rules}
 ORACLES: dict[str, str] = {}
