@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, line_rules, mixing, secrets, sequences, token_counts, warc
+from millrace.llm import decontaminate, line_rules, mixing, perplexity, secrets, sequences, token_counts, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +15,10 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
 
 
+def op2_perplexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perplexity.classify(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken_words(_documents(spark, sf_dir))
 
@@ -43,5 +47,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-QUERIES = {"op10_decontaminate": op10_decontaminate, "op1_warc": op1_warc, "op4_sequences": op4_sequences, "op3_mixing": op3_mixing, "op6_token_counts": op6_token_counts, "op8_secrets": op8_secrets, "op9_line_rules": op9_line_rules}
+QUERIES = {"op2_perplexity": op2_perplexity, "op10_decontaminate": op10_decontaminate, "op1_warc": op1_warc, "op4_sequences": op4_sequences, "op3_mixing": op3_mixing, "op6_token_counts": op6_token_counts, "op8_secrets": op8_secrets, "op9_line_rules": op9_line_rules}
 ORACLES: dict[str, str] = {}

@@ -39,7 +39,7 @@ LENGTH = 2048
 #: Ids after which a file ends at the next document's end, and sequences in a record batch.
 FILE_IDS = 4_000_000
 BATCH_ROWS = 256
-MEMO_UNITS = 600_000
+MEMO_UNITS = 250_000
 #: Units longer than this aren't remembered.
 MEMO_CHARS = 64
 DOCS = pa.list_(pa.struct([("doc_id", pa.int64()), ("offset", pa.int64()), ("n_tokens", pa.int64())]))
@@ -136,8 +136,8 @@ def write_sequences(docs: DataFrame, path: str, tokenizer_path: str, *, id_col:
             return pa.RecordBatch.from_arrays([pa.array([file_bytes(held, tokens.dtype, length, place)[: -len(MAGIC)]], pa.binary())], names=["file"])
 
         for batch in batches:
-            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.append((key, tokens.encode(text) + end))
+            for key, text in zip(batch.column(0), batch.column(1)):
+                held.append((key.as_py(), tokens.encode(text.as_py()) + end))
                 size += len(held[-1][1]) // tokens.dtype.itemsize
                 if size >= file_ids:
                     yield cut()
