@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, line_rules, mixing, perplexity, secrets, sequences, token_counts, warc
+from millrace.llm import decontaminate, line_rules, mixing, near_duplicates, perplexity, secrets, sequences, token_counts, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,6 +35,10 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.jaccard_join(_documents(spark, sf_dir))
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan(_documents(spark, sf_dir))
 
@@ -47,5 +51,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-QUERIES = {"op2_perplexity": op2_perplexity, "op10_decontaminate": op10_decontaminate, "op1_warc": op1_warc, "op4_sequences": op4_sequences, "op3_mixing": op3_mixing, "op6_token_counts": op6_token_counts, "op8_secrets": op8_secrets, "op9_line_rules": op9_line_rules}
+QUERIES = {"op7_jaccard_join": op7_jaccard_join, "op2_perplexity": op2_perplexity, "op10_decontaminate": op10_decontaminate, "op1_warc": op1_warc, "op4_sequences": op4_sequences, "op3_mixing": op3_mixing, "op6_token_counts": op6_token_counts, "op8_secrets": op8_secrets, "op9_line_rules": op9_line_rules}
 ORACLES: dict[str, str] = {}
