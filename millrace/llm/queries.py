@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.llm import decontaminate, line_rules, mixing, near_duplicates, perplexity, secrets, sequences, token_counts, warc
+from millrace.llm import decontaminate, line_rules, mixing, near_duplicates, perplexity, secrets, sequences, suffix_dedup, token_counts, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +29,10 @@ def op4_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sequences.token_files(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeats(_documents(spark, sf_dir))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -51,5 +55,5 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
-QUERIES = {"op7_jaccard_join": op7_jaccard_join, "op2_perplexity": op2_perplexity, "op10_decontaminate": op10_decontaminate, "op1_warc": op1_warc, "op4_sequences": op4_sequences, "op3_mixing": op3_mixing, "op6_token_counts": op6_token_counts, "op8_secrets": op8_secrets, "op9_line_rules": op9_line_rules}
+QUERIES = {"op5_suffix_dedup": op5_suffix_dedup, "op7_jaccard_join": op7_jaccard_join, "op2_perplexity": op2_perplexity, "op10_decontaminate": op10_decontaminate, "op1_warc": op1_warc, "op4_sequences": op4_sequences, "op3_mixing": op3_mixing, "op6_token_counts": op6_token_counts, "op8_secrets": op8_secrets, "op9_line_rules": op9_line_rules}
 ORACLES: dict[str, str] = {}
