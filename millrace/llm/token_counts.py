@@ -19,7 +19,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,7 +27,7 @@ from millrace.llm.common import materialize, text_of, work_path
 
 MARK = "▁"
 #: Units that a worker's memo holds at most; it starts anew beyond them.
-MEMO_UNITS = 1_000_000
+MEMO_UNITS = 250_000
 CACHE_SCHEMA = "content binary, version binary, n_tokens long"
 _counters: dict[str, object] = {}
 
@@ -116,12 +116,13 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
         texts = texts.join(missing, "content", "left_semi")
     distinct = texts.groupBy("content").agg(F.first("text").alias("text"))
 
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = counter(tokenizer_path)
         for batch in batches:
-            yield pd.DataFrame({"content": batch["content"], "n_tokens": [tokens.count(x) for x in batch["text"]]})
+            counts = pa.array((tokens.count(x.as_py()) for x in batch.column("text")), pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("content"), counts], names=["content", "n_tokens"])
 
-    counted = distinct.mapInPandas(encode, "content binary, n_tokens long")
+    counted = distinct.mapInArrow(encode, "content binary, n_tokens long")
     counted.select("content", version.alias("version"), "n_tokens").write.mode("append").parquet(cache_path)
     counts = spark.read.schema(CACHE_SCHEMA).parquet(cache_path).filter(F.col("version") == version).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
     return keyed.join(counts, "content").select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
