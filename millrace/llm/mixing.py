@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import materialize, word_count
+from millrace.llm.common import broadcast_if, materialize, word_count
 
 #: Ranks inside a node are found in this many hash ranges, so that no task sorts all tickets of a node.
 RANGES = 1024
@@ -164,5 +164,6 @@ def mixed_rows(docs: DataFrame, **options) -> DataFrame:
     # the decision is the same for rows that agree in id, so that one pick list per id and copy is joined to them
     chosen = picks.groupBy("id", "source", "copy").agg(F.min("shard").alias("shard"), F.min("order_key").alias("order_key"))
     p = chosen.select(F.col("id").alias("__id"), F.col("source").alias("__source"), F.col("shard").alias("__shard"), F.col("order_key").alias("__order"))
+    p = materialize(p, "mix-picks")
     on = docs[id_col].eqNullSafe(F.col("__id")) & docs[options.get("source_col", "source")].eqNullSafe(F.col("__source"))
-    return docs.join(p, on).drop("__id", "__source", "__shard", "__order")
+    return docs.join(broadcast_if(p, p.count(), 500_000), on).drop("__id", "__source", "__shard", "__order")
