@@ -22,8 +22,8 @@ empty table writes no file and reads back as no rows. A long text is encoded who
 
 from __future__ import annotations
 
-import io
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,22 +39,47 @@ LENGTH = 2048
 #: Ids after which a file ends at the next document's end, and sequences in a record batch.
 FILE_IDS = 4_000_000
 BATCH_ROWS = 256
-MEMO_UNITS = 250_000
+#: Units that each of the memo's two generations holds.
+MEMO_UNITS = 100_000
 #: Units longer than this aren't remembered.
 MEMO_CHARS = 64
 DOCS = pa.list_(pa.struct([("doc_id", pa.int64()), ("offset", pa.int64()), ("n_tokens", pa.int64())]))
 _encoders: dict[str, Encoder] = {}
 
 
-class Encoder(dict):
-    """Ids of texts as little-endian bytes; as a mapping, the memo of single units."""
+class Memo(dict):
+    """Ids of units, with the memo before it as a second generation.
+
+    lowered: units are lower-case Latin-1 just now, on which the normalizer does nothing; letters are one pre-token then.
+    """
+
+    def __init__(self, encoder: Encoder, old: dict) -> None:
+        super().__init__()
+        self.encoder, self.old, self.lowered = encoder, old, False
+
+    def __missing__(self, unit: str) -> bytes:
+        ids = self.old.get(unit)
+        if ids is None:
+            # letters and the mark after them are different pre-tokens
+            if unit[-1] in ".,;:!?" and unit[:-1].isalpha():
+                ids = self[unit[:-1]] + self[unit[-1]]
+            elif self.lowered and unit.isalpha():
+                ids = self.encoder.word(unit)
+            else:
+                ids = self.encoder.direct(unit)
+        if len(unit) <= MEMO_CHARS:
+            self[unit] = ids
+        return ids
+
+
+class Encoder:
+    """Ids of texts as little-endian bytes."""
 
     def __init__(self, path: str) -> None:
         import json
 
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.model = Tokenizer.from_file(path)
         self.model.no_truncation()
         self.model.no_padding()
@@ -64,32 +89,43 @@ class Encoder(dict):
         parts = lambda x, key: (x or {}).get(key) or ([x] if x else [])
         normal = [p["type"] for p in parts(spec.get("normalizer"), "normalizers")]
         breaks = [p for p in parts(spec.get("pre_tokenizer"), "pretokenizers") if p["type"] == "Split" and p["invert"] and p["behavior"] == "Removed"]
+        del spec["model"]
         pattern = breaks[0]["pattern"].get("Regex", "") if breaks else ""
-        self.letters_apart = pattern.endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
+        letters_apart = pattern.endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         added = [a["content"] for a in spec.get("added_tokens", [])]
-        self.by_unit = normal == ["NFC", "Replace", "Lowercase"] and self.letters_apart and spec.get("post_processor") is None and not any(c.isspace() for a in added for c in a) and not any(a["lstrip"] or a["rstrip"] for a in spec.get("added_tokens", []))
+        self.by_unit = normal == ["NFC", "Replace", "Lowercase"] and letters_apart and spec.get("post_processor") is None and not any(c.isspace() for a in added for c in a) and not any(a["lstrip"] or a["rstrip"] for a in spec.get("added_tokens", []))
+        # with lower-case special strings, lowering a text can't make or break one
+        self.lowers = all(a == a.lower() for a in added)
+        # bytes as the byte-level pre-tokenizer writes them: printable ones as they are, the others from 256 up
+        plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        shown = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(x for x in range(256) if x not in plain)}
+        self.written = {c: "".join(shown[b] for b in chr(c).encode()) for c in range(128, 256)}
+        self.bare, self.code = self.model.model, self.dtype.char
+        self.memo = Memo(self, {})
+
+    def word(self, unit: str) -> bytes:
+        """Ids of lower-case Latin-1 letters: one pre-token, so that the model alone gives them."""
+        shown = unit if unit.isascii() else unit.translate(self.written)
+        return array(self.code, [t.id for t in self.bare.tokenize(shown)]).tobytes()
 
     def direct(self, text: str) -> bytes:
         return np.array(self.model.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
-    def __missing__(self, unit: str) -> bytes:
-        # letters and the mark after them are different pre-tokens, and case is dropped
-        if unit[-1] in ".,;:!?" and unit[:-1].isalpha():
-            ids = self[unit[:-1]] + self[unit[-1]]
-        elif unit.isascii() and unit.isalpha() and not unit.islower():
-            ids = self[unit.lower()]
-        else:
-            ids = self.direct(unit)
-        if len(unit) <= MEMO_CHARS:
-            self[unit] = ids
-        return ids
-
     def encode(self, text: str) -> bytes:
         if not self.by_unit or any(c in text for c in "\x1c\x1d\x1e\x1f"):
             return self.direct(text)
-        if len(self) > MEMO_UNITS:
-            self.clear()
-        return b"".join(map(self.__getitem__, text.split()))
+        if len(self.memo) > MEMO_UNITS:
+            self.memo.old = {}
+            self.memo = Memo(self, self.memo)
+        self.memo.lowered = False
+        if self.lowers and "<|" not in text:
+            try:  # Latin-1 is composed, and its lower case doesn't depend on what stands around
+                text.encode("latin-1")
+                text = text.lower()
+                self.memo.lowered = True
+            except UnicodeEncodeError:
+                pass
+        return b"".join(map(self.memo.__getitem__, text.split()))
 
 
 def encoder(path: str) -> Encoder:
@@ -99,7 +135,7 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
-def file_bytes(docs: list[tuple[int | None, bytes]], dtype: np.dtype, length: int, place: dict[str, str]) -> bytes:
+def file_bytes(docs: list[tuple[int | None, bytes]], dtype: np.dtype, length: int, place: dict[str, str]) -> pa.Buffer:
     """An Arrow IPC file of documents given as (id, bytes of ids)."""
     ids = np.frombuffer(b"".join(x for _, x in docs), dtype)
     n = -(-len(ids) // length)
@@ -112,7 +148,7 @@ def file_bytes(docs: list[tuple[int | None, bytes]], dtype: np.dtype, length: in
     lists = pa.ListArray.from_arrays(pa.array(began, pa.int32()), entries, type=DOCS)
     columns = [pa.FixedSizeListArray.from_arrays(pa.array(padded), length), pa.FixedSizeListArray.from_arrays(pa.array(mask), length), lists]
     table = pa.table(columns, names=["ids", "mask", "docs"]).replace_schema_metadata(place)
-    out = io.BytesIO()
+    out = pa.BufferOutputStream()
     with pa.ipc.new_file(out, table.schema) as writer:
         writer.write_table(table, max_chunksize=BATCH_ROWS)
     return out.getvalue()
@@ -133,7 +169,9 @@ def write_sequences(docs: DataFrame, path: str, tokenizer_path: str, *, id_col:
 
         def cut() -> pa.RecordBatch:
             place = {"first": "" if held[0][0] is None else str(held[0][0]), "part": str(part), "number": str(number)}
-            return pa.RecordBatch.from_arrays([pa.array([file_bytes(held, tokens.dtype, length, place)[: -len(MAGIC)]], pa.binary())], names=["file"])
+            content = file_bytes(held, tokens.dtype, length, place)
+            ends = pa.array([0, content.size - len(MAGIC)], pa.int32()).buffers()[1]
+            return pa.RecordBatch.from_arrays([pa.Array.from_buffers(pa.binary(), 1, [None, ends, content])], names=["file"])
 
         for batch in batches:
             for key, text in zip(batch.column(0), batch.column(1)):
