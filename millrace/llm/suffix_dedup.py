@@ -7,8 +7,8 @@ together, and neighbouring strings with one anchor travel together in a frame of
  1. Documents are dealt to blocks. A block sends each distinct anchor gram's hash once, dealt to buckets by its upper
     bits; the bucket answers which of them occur in two or more documents.
  2. A block sends each distinct frame around a shared anchor once, with the smallest and largest id that has it there.
- 3. A bucket sorts the suffixes (the strings' starts) in its frames: a multikey quicksort with eight-byte characters to
-    a depth of 16 bytes, and blind tries for the groups that still agree. A trie's node knows only the place where its
+ 3. A bucket sorts the suffixes (the strings' starts) in its frames: a multikey quicksort with characters of some bytes
+    to a depth of 18 bytes, and blind tries for the groups that still agree. A trie's node knows only the place where its
     members first differ; members are dealt by the byte at that place, level by level for all tries at once, until a
     node's members agree in all 50 bytes. The smallest id of each such class goes back to the blocks.
  4. A block removes the bytes of strings whose class has a smaller id than the document.
@@ -24,6 +24,7 @@ in pieces of bounded size where a step needs more memory than the text.
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -38,9 +39,9 @@ FRAME = 2 * MATCH - GRAM
 #: A frame's row: its bytes, first and last string in it, and two bytes to a multiple of eight.
 ROW = FRAME + 4
 GAP = 64
-SHALLOW = 16
+SHALLOW = 18
 BLOCK_BYTES = 2_000_000
-PIECE = 1 << 16
+PIECE = 1 << 15
 NO_ID = (1 << 63) - 1
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 _FOLD = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 3, 1 << 64) | 1 for k in range(ROW // 8)], np.uint64)
@@ -51,6 +52,12 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def gram_hash(words: np.ndarray, at: int | np.ndarray, n: int = 0) -> np.ndarray:
+    """Hashes of the grams at n places from `at` on, or at the places of an array."""
+    first, second = (words[at : at + n], words[at + 8 : at + 8 + n]) if n else (words[at], words[at + 8])
+    return mix(first * _M[0] + (second ^ _M[2]) * _M[1])
+
+
 class Block:
     """The texts of a block in one buffer, by ascending id, with their anchors."""
 
@@ -71,39 +78,44 @@ class Block:
 
     def _anchors(self) -> None:
         """anchor, low, high: each anchor with the first and last string it belongs to; gram: its hash; owner: its document."""
-        buffer, n = self.buffer, len(self.buffer) - GRAM + 1
+        buffer, n = self.buffer, len(self.buffer) - MATCH + 1
         words = np.ndarray((len(buffer) - 7,), "<u8", buffer, strides=(1,))
-        hashed = mix(words[:n] * _M[0] + (words[8 : 8 + n] ^ _M[2]) * _M[1])
-        least = (hashed & np.uint64(0xFFFFFFFF00000000)) | np.arange(n, dtype=np.uint64)
-        width = 1
-        while 2 * width <= SPAN:
-            least = np.minimum(least[:-width], least[width:])
-            width *= 2
-        if width < SPAN:
-            least = np.minimum(least[: len(least) - (SPAN - width)], least[SPAN - width :])
-        place = (least & np.uint64(0xFFFFFFFF)).astype(np.int64)
+        place = np.empty(n, np.int32 if n < 1 << 31 else np.int64)
+        for at in range(0, n, PIECE * 4):
+            end = min(at + PIECE * 4, n)
+            m = end - at + SPAN - 1
+            least = (gram_hash(words, at, m) & np.uint64(0xFFFFFFFF00000000)) | np.arange(m, dtype=np.uint64)
+            width = 1
+            while 2 * width <= SPAN:
+                least = np.minimum(least[:-width], least[width:])
+                width *= 2
+            if width < SPAN:
+                least = np.minimum(least[: len(least) - (SPAN - width)], least[SPAN - width :])
+            place[at:end] = (least & np.uint64(0xFFFFFFFF)).astype(np.int64) + at
         rooms = np.maximum(self.lengths - MATCH + 1, 0)
-        valid = np.zeros(len(buffer) + 1, np.int8)
+        valid = np.zeros(n + 1, np.int8)
         valid[self.starts[rooms > 0]] = 1
         valid[(self.starts + rooms)[rooms > 0]] -= 1
-        at = np.flatnonzero(np.cumsum(valid, dtype=np.int8)[: len(place)])
+        at = np.flatnonzero(np.cumsum(valid[:-1], dtype=np.int8)).astype(place.dtype)
         where = place[at]
         new = np.ones(len(at), bool)
         new[1:] = (where[1:] != where[:-1]) | (at[1:] != at[:-1] + 1)
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(at)) - 1 if len(first) else first
-        self.anchor, self.low, self.high = where[first], at[first], at[last] if len(first) else first
-        self.gram = hashed[self.anchor] if len(first) else np.zeros(0, np.uint64)
+        self.anchor, self.low, self.high = (x.astype(np.int64) for x in (where[first], at[first], at[last]))
+        self.gram = np.concatenate([gram_hash(words, self.anchor[i : i + PIECE]) for i in range(0, len(first), PIECE)] or [np.zeros(0, np.uint64)])
         self.owner = np.searchsorted(self.starts, self.anchor, "right") - 1
 
     def frames(self, chosen: np.ndarray) -> np.ndarray:
-        """Rows of the chosen anchors' frames; 0 outside the document."""
+        """Rows of the chosen anchors' frames; 0 outside their strings."""
         anchor = self.anchor[chosen]
         left = anchor - (MATCH - GRAM)
         rows = np.zeros((len(chosen), ROW), np.uint8)
         rows[:, :FRAME] = self.buffer[left[:, None] + np.arange(FRAME)]
-        rows[:, FRAME] = self.low[chosen] - left
-        rows[:, FRAME + 1] = self.high[chosen] - left
+        low, high = self.low[chosen] - left, self.high[chosen] - left
+        column = np.arange(FRAME, dtype=np.uint8)
+        rows[:, :FRAME] *= (column >= low.astype(np.uint8)[:, None]) & (column < (high + MATCH).astype(np.uint8)[:, None])
+        rows[:, FRAME], rows[:, FRAME + 1] = low, high
         return rows
 
     def marks(self, rows: np.ndarray) -> np.ndarray:
@@ -114,26 +126,29 @@ class Block:
 def sort_classes(frames: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The suffixes in frames in order, as (frame, offset), and for each whether it equals the one before in MATCH bytes."""
     counts = high - low + 1
-    frame = np.repeat(np.arange(len(frames)), counts)
-    offset = np.arange(len(frame)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(low, counts)
+    frame = np.repeat(np.arange(len(frames), dtype=np.int32), counts)
+    offset = (np.arange(len(frame)) - np.repeat(np.cumsum(counts) - counts - low, counts)).astype(np.int32)
     flat = frames.reshape(-1)
     words = np.ndarray((len(flat) - 7,), ">u8", flat, strides=(1,))
-    start = frame * ROW + offset
-    # shallow: three-way partitions by characters of eight bytes
-    order = np.argsort(words[start].astype(np.uint64), kind="stable")
+    start = frame.astype(np.int64) * ROW + offset
+    # shallow: partitions by a character of eight bytes, then of five, which share a word with their group's number
+    own = words[start].astype(np.uint64)
+    order = np.argsort(own)
+    own = own[order]
     equal = np.zeros(len(order), bool)
-    for depth in range(0, SHALLOW, 8):
-        own = words[start[order] + depth].astype(np.uint64)
-        if depth:
-            group = np.cumsum(~equal)
-            tied = _tied(equal)
-            inside = order[tied]
-            inside = inside[np.lexsort((words[start[inside] + depth].astype(np.uint64), group[tied]))]
-            order[tied] = inside
-            own = words[start[order] + depth].astype(np.uint64)
-        same = np.zeros(len(order), bool)
+    equal[1:] = own[1:] == own[:-1]
+    for depth in range(8, SHALLOW, 5):
+        tied = np.flatnonzero(_tied(equal))
+        if not len(tied):
+            break
+        items = order[tied]
+        group = np.cumsum(~equal[tied]).astype(np.uint64)
+        own = (group << np.uint64(40)) | (words[start[items] + depth].astype(np.uint64) >> np.uint64(24))
+        by = np.argsort(own)
+        own, order[tied] = own[by], items[by]
+        same = np.zeros(len(own), bool)
         same[1:] = own[1:] == own[:-1]
-        equal = same & equal if depth else same
+        equal[tied] = same
     # deep: blind tries for the groups that are left, all of them one level at a time
     pending = np.flatnonzero(_tied(equal))
     steps = [*range(SHALLOW, MATCH - 8, 8), MATCH - 8]
@@ -142,28 +157,27 @@ def sort_classes(frames: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple
         heads = ~equal[pending]
         group = np.cumsum(heads) - 1
         first = np.flatnonzero(heads)
-        leader = start[items[first]][group]
+        mine, leader = start[items], start[items[first]][group]
+        unlike = np.zeros(len(items), np.uint64)
+        for step in steps:
+            unlike |= (words[mine + step] ^ words[leader + step]).astype(np.uint64)
+        other = np.flatnonzero(unlike)
+        if not len(other):
+            break
+        # members that differ from their group's first: where they do so first
         differ = np.full(len(items), MATCH, np.int64)
         for step in reversed(steps):
-            x = words[start[items] + step] ^ words[leader + step]
-            byte = x.astype(np.uint64)
-            found = byte != 0
-            # the place of the highest byte that is set
-            lead = np.zeros(len(items), np.int64)
-            for k in range(1, 8):
-                lead += byte < np.uint64(1 << (64 - 8 * k))
-            differ[found] = step + lead[found]
+            x = (words[mine[other] + step] ^ words[leader[other] + step]).astype(np.uint64)
+            lead = sum((x < np.uint64(1 << (64 - 8 * k))).astype(np.int64) for k in range(1, 8))
+            differ[other] = np.where(x != 0, step + lead, differ[other])
         branch = np.minimum.reduceat(differ, first)[group]
         open_ = branch < MATCH
-        if not open_.any():
-            break
-        pending, items, group, branch = pending[open_], items[open_], group[open_], branch[open_]
-        byte = flat[start[items] + branch]
-        by = np.lexsort((byte, group))
-        items, byte = items[by], byte[by]
-        order[pending] = items
-        again = np.zeros(len(items), bool)
-        again[1:] = (group[1:] == group[:-1]) & (byte[1:] == byte[:-1])
+        pending, items, group = pending[open_], items[open_], group[open_]
+        own = (group << 8) | flat[start[items] + branch[open_]]
+        by = np.argsort(own)
+        own, order[pending] = own[by], items[by]
+        again = np.zeros(len(own), bool)
+        again[1:] = own[1:] == own[:-1]
         equal[pending] = again
         pending = pending[_tied(again)]
     return frame[order], offset[order], equal
@@ -244,38 +258,63 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         rows, marks, least, most, of = rows[first][by], marks[by], least[by], most[by], of[first][by]
         bucket, begins = np.unique(of, return_index=True)
         cuts = list(zip(begins, np.append(begins[1:], len(of))))
-        packed = [pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary()) for x in (rows, marks, least, most)]
+        packed = [pa.array([zlib.compress(rows[a:b].tobytes(), 1) for a, b in cuts], pa.binary()), *(pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary()) for x in (marks, least, most))]
         return pa.table([pa.array([name(table)] * len(cuts), pa.int64()), pa.array(bucket, pa.int64()), *packed], names=["block", "bucket", "frames", "marks", "low", "high"])
 
     def judge(table: pa.Table) -> pa.Table:
         load = lambda c, kind: np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(c)])
-        frames = load("frames", np.uint8).reshape(-1, ROW)
         marks, low, high = load("marks", "<u8"), load("low", "<i8"), load("high", "<i8")
         sizes = [len(x.as_py()) // 8 for x in table.column("marks")]
         of = np.repeat(np.arange(len(sizes)), sizes)
-        frame, offset, equal = sort_classes(frames, frames[:, FRAME].astype(np.int64), frames[:, FRAME + 1].astype(np.int64))
-        heads = np.flatnonzero(~equal)
-        least = np.minimum.reduceat(low[frame], heads)[np.cumsum(~equal) - 1]
-        hit = least < high[frame]
-        frame, offset, least = frame[hit], offset[hit], least[hit]
-        by = np.lexsort((offset, frame))
-        frame, offset, least = frame[by], offset[by], least[by]
-        new = np.ones(len(frame), bool)
-        new[1:] = (frame[1:] != frame[:-1]) | (offset[1:] != offset[:-1] + 1) | (least[1:] != least[:-1])
-        a = np.flatnonzero(new)
-        z = np.append(a[1:], len(frame)) - 1 if len(a) else a
-        runs = (marks[frame[a]], offset[a].astype(np.uint8), offset[z].astype(np.uint8), least[a])
-        block, begins = np.unique(of[frame[a]], return_index=True)
-        cuts = list(zip(begins, np.append(begins[1:], len(a))))
-        names = table.column("block").to_pylist()
-        return pa.table([pa.array([names[k] for k in block], pa.int64()), *(pa.array([x[i:j].tobytes() for i, j in cuts], pa.binary()) for x in runs)], names=["block", "marks", "first", "last", "least"])
+        names, first, place = np.unique(marks, return_index=True, return_inverse=True)
+        frames = np.concatenate([np.frombuffer(zlib.decompress(x.as_py()), np.uint8) for x in table.column("frames")]).reshape(-1, ROW)[first]
+        least_id = np.full(len(names), NO_ID)
+        np.minimum.at(least_id, place, low)
+        most_id = np.zeros(len(names), np.int64)
+        np.maximum.at(most_id, place, high)
+        words = np.ascontiguousarray(frames[:, MATCH - GRAM : MATCH]).view("<u8")
+        part = mix(words[:, 0] * _M[0] + (words[:, 1] ^ _M[2]) * _M[1])
+        part = (part >> np.uint64(8)) % np.uint64(max(1, len(names) // 4_000))
+        found: list[tuple[np.ndarray, ...]] = []
+        by = np.argsort(part)
+        for own in np.split(by, np.flatnonzero(np.diff(part[by])) + 1) if len(by) else []:
+            rows = frames[own]
+            frame, offset, equal = sort_classes(rows, rows[:, FRAME].astype(np.int64), rows[:, FRAME + 1].astype(np.int64))
+            heads = np.flatnonzero(~equal)
+            least = np.minimum.reduceat(least_id[own][frame], heads)[np.cumsum(~equal) - 1]
+            hit = least < most_id[own][frame]
+            frame, offset, least = frame[hit], offset[hit], least[hit]
+            by_place = np.argsort(frame * np.int32(64) + offset)
+            frame, offset, least = frame[by_place], offset[by_place], least[by_place]
+            new = np.ones(len(frame), bool)
+            new[1:] = (frame[1:] != frame[:-1]) | (offset[1:] != offset[:-1] + 1) | (least[1:] != least[:-1])
+            a = np.flatnonzero(new)
+            z = np.append(a[1:], len(frame)) - 1 if len(a) else a
+            found.append((own[frame[a]], offset[a].astype(np.uint8), offset[z].astype(np.uint8), least[a]))
+        if not found:
+            return pa.table([pa.array([], t) for t in (pa.int64(), *[pa.binary()] * 4)], names=["block", "marks", "first", "last", "least"])
+        name_, a, z, least = (np.concatenate(x) for x in zip(*found))
+        # every block that has the frame gets its runs
+        by = np.argsort(name_, kind="stable")
+        name_, a, z, least = name_[by], a[by], z[by], least[by]
+        lo, hi = np.searchsorted(name_, place, "left"), np.searchsorted(name_, place, "right")
+        times = hi - lo
+        run = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times - lo, times)
+        sender = np.repeat(np.arange(len(place)), times)
+        later = least[run] < high[sender]
+        run, sender = run[later], sender[later]
+        runs = (marks[sender], a[run], z[run], least[run])
+        block, begins = np.unique(of[sender], return_index=True)
+        cuts = list(zip(begins, np.append(begins[1:], len(sender))))
+        blocks_ = table.column("block").to_pylist()
+        return pa.table([pa.array([blocks_[k] for k in block], pa.int64()), *(pa.array([zlib.compress(x[i:j].tobytes(), 1) for i, j in cuts], pa.binary()) for x in runs)], names=["block", "marks", "first", "last", "least"])
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_kept
 
     def cut(table: pa.Table, runs: pa.Table) -> pa.Table:
         block = Block(table)
         cover = np.zeros(len(block.buffer) + 1, np.int32)
-        load = lambda c, kind: np.concatenate([np.frombuffer(x.as_py(), kind) for x in runs.column(c)])
+        load = lambda c, kind: np.concatenate([np.frombuffer(zlib.decompress(x.as_py()), kind) for x in runs.column(c)])
         if len(runs):
             marks, first, last, least = load("marks", "<u8"), load("first", np.uint8), load("last", np.uint8), load("least", "<i8")
             by = np.argsort(marks, kind="stable")
