@@ -16,24 +16,26 @@ from millrace.operators import dialog
 def read_lines(spark: SparkSession, path: str, *, keep_blank_index: bool = True) -> DataFrame:
     """(file, row_index, line) of the non-blank lines. row_index counts from 0 in each file.
 
-    keep_blank_index: blank lines use up an index. A file is read by one task here, since a line's number depends on all
-    lines before it; many files are read side by side.
+    keep_blank_index: blank lines use up an index. Files are read split by split: lines are numbered inside their split,
+    in which the running id ascends, and the splits' counts are added up by file.
     """
-    lines = spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.posexplode(F.split("value", "\n")).alias("row_index", "line"))
-    solid = lines.select("file", F.col("row_index").cast("long"), "line").filter(F.trim("line") != "")
-    if keep_blank_index:
-        return solid
-    return solid.withColumn("row_index", (F.row_number().over(Window.partitionBy("file").orderBy("row_index")) - 1).cast("long"))
+    block = F.col("_metadata.file_block_start").alias("block")
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), block, F.col("value").alias("line")).withColumn("id", F.monotonically_increasing_id())
+    solid = F.trim("line") != ""
+    counted = lines if keep_blank_index else lines.filter(solid)
+    before = Window.partitionBy("file").orderBy("block")
+    splits = counted.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n")).select("file", "block", (F.sum("n").over(before) - F.col("n")).alias("offset"))
+    inside = F.row_number().over(Window.partitionBy("file", "block").orderBy("id")) - 1
+    numbered = counted.withColumn("inside", inside).join(splits, ["file", "block"])
+    return numbered.filter(solid).select("file", (F.col("offset") + F.col("inside")).cast("long").alias("row_index"), "line")
 
 
 def parse(lines: DataFrame, *, mode: str = "strict") -> DataFrame:
     """lines with value VARIANT. strict: a malformed line is an error that names its line; tolerant: it is dropped."""
-    parsed = lines.withColumn("value", F.try_parse_json("line"))
     if mode == "tolerant":
-        return parsed.filter("value is not null")
+        return lines.withColumn("value", F.try_parse_json("line")).filter("value is not null")
     place = F.concat(F.lit("malformed JSON: "), F.col("file"), F.lit(" line "), (F.col("row_index") + 1).cast("string"))
-    checked = F.when(F.col("value").isNull(), F.raise_error(place).cast("string")).otherwise(F.lit(""))
-    return parsed.filter(checked == "")
+    return lines.withColumn("value", F.coalesce(F.try_parse_json("line"), F.raise_error(place)))
 
 
 def _text(value: Column, path: str) -> Column:
@@ -82,7 +84,7 @@ def chat_rows(lines: DataFrame, key: str, *, ids: tuple[str, ...] = ("source_id"
 
 def read_document(spark: SparkSession, path: str) -> DataFrame:
     """One JSON document a file: (file, value)."""
-    return spark.read.option("wholetext", True).text(path).select(F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("value"))
+    return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("value"))
 
 
 def first_source(*candidates: DataFrame | None) -> DataFrame | None:
