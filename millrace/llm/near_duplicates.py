@@ -77,20 +77,20 @@ def shingles(words: np.ndarray) -> np.ndarray:
     return total
 
 
-def signatures(sets: list[np.ndarray]) -> np.ndarray:
+def signatures(sets: list[np.ndarray], trees: int) -> np.ndarray:
     """A row of minima for each non-empty set."""
-    out = np.empty((TREES * DEPTH, len(sets)), np.uint32)
+    out = np.empty((trees * DEPTH, len(sets)), np.uint32)
     starts = np.cumsum([0] + [len(s) for s in sets])[:-1]
     everything = np.concatenate(sets)
     room = np.empty_like(everything)
-    for k in range(TREES * DEPTH):
+    for k in range(trees * DEPTH):
         np.multiply(everything, FACTORS[k], out=room)
         np.add(room, ADDENDS[k], out=room)
         out[k] = np.minimum.reduceat(room, starts) >> np.uint64(32)
     return np.ascontiguousarray(out.T)
 
 
-def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def sketch(docs: DataFrame, id_col: str, text_col: str, trees: int) -> DataFrame:
     """A row per document: id, digest (of the text), class (16 bytes; null without words), signature."""
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("digest"), text_of(text_col).alias("text"))
 
@@ -103,7 +103,7 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             size = 0
 
             def flush() -> None:
-                for place, row in zip(places, signatures(held) if held else ()):
+                for place, row in zip(places, signatures(held, trees) if held else ()):
                     minima[place] = row.tobytes()
                 held.clear()
                 places.clear()
@@ -125,16 +125,16 @@ def sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return own.mapInArrow(rows, "id long, digest long, class binary, signature binary")
 
 
-def chance(s: float | np.ndarray, depth: int):
+def chance(s: float | np.ndarray, depth: int, trees: int):
     """The chance that two sets of similarity s meet at a depth in some tree."""
-    return 1 - (1 - np.asarray(s, float) ** depth) ** TREES
+    return 1 - (1 - np.asarray(s, float) ** depth) ** trees
 
 
-def buckets(classes: DataFrame, depth: int, first: bool) -> DataFrame:
+def buckets(classes: DataFrame, depth: int, first: bool, trees: int) -> DataFrame:
     """(class, tree, key, n) for the members of buckets to be visited at a depth."""
     slot = lambda d: F.xxhash64("tree", F.expr(f"substring(signature, tree * {4 * DEPTH} + 1, {4 * d})"))
-    trees = classes.select("class", "signature", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"))
-    keyed = trees.select("class", "tree", slot(depth).alias("key"), (F.lit(0).cast("long") if first else slot(depth + 1)).alias("deeper"))
+    placed = classes.select("class", "signature", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
+    keyed = placed.select("class", "tree", slot(depth).alias("key"), (F.lit(0).cast("long") if first else slot(depth + 1)).alias("deeper"))
     found = keyed.groupBy("key", "tree").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("class")).alias("mark"), F.min("deeper").alias("lo"), F.max("deeper").alias("hi")).filter(F.col("n") > 1)
     if not first:
         found = found.filter("lo <> hi")  # else all its pairs met in a deeper round
@@ -172,7 +172,7 @@ def compare(sets: list[np.ndarray], minima: np.ndarray, part: np.ndarray, tree:
         near &= part[:, None] != part[None, :]
     i, j = np.nonzero(near)
     met = np.zeros(len(i), bool)
-    for t in range(TREES):
+    for t in range(minima.shape[1]):
         agree = (minima[i, t, :depth] == minima[j, t, :depth]).all(1)
         if t < tree:
             met |= agree
@@ -182,7 +182,7 @@ def compare(sets: list[np.ndarray], minima: np.ndarray, part: np.ndarray, tree:
     return np.stack([i, j], 1), common[i, j] / either[i, j]
 
 
-def verify(members: DataFrame, sets: DataFrame, depth: int, first: bool, threshold: float) -> DataFrame:
+def verify(members: DataFrame, sets: DataFrame, depth: int, first: bool, threshold: float, trees: int) -> DataFrame:
     """(class, root, links, found, expected): per task and class with links; expected by depth from DEPTH down to 1."""
     parts = F.ceil(F.col("n") / MEMBERS).cast("int")
     cut = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
@@ -194,14 +194,14 @@ def verify(members: DataFrame, sets: DataFrame, depth: int, first: bool, thresho
     def judged(rows: list[tuple]) -> list[tuple]:
         n = len(rows)
         held = [np.frombuffer(r[6], np.uint64) for r in rows]
-        minima = np.stack([np.frombuffer(r[5], np.uint32) for r in rows]).reshape(n, TREES, DEPTH)
+        minima = np.stack([np.frombuffer(r[5], np.uint32) for r in rows]).reshape(n, trees, DEPTH)
         pairs, similar = compare(held, minima, np.array([r[3] for r in rows]), rows[0][2], depth, first, threshold)
         if not len(pairs):
             return []
         copies = np.array([r[4] for r in rows])
         links = np.bincount(pairs[:, 0], copies[pairs[:, 1]], n) + np.bincount(pairs[:, 1], copies[pairs[:, 0]], n)
         found = np.bincount(pairs[:, 0], minlength=n)
-        expected = np.stack([np.bincount(pairs[:, 0], 1 / chance(similar, d), n) for d in range(DEPTH, 0, -1)], 1)
+        expected = np.stack([np.bincount(pairs[:, 0], 1 / chance(similar, d, trees), n) for d in range(DEPTH, 0, -1)], 1)
         root = np.arange(n)
         while True:  # smallest place over the links, until nothing changes
             before = root.copy()
@@ -248,9 +248,10 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str)
     return texts.mapInArrow(rows, "class binary, shingles binary").dropDuplicates(["class"])
 
 
-def jaccard_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, recall: float = 0.999, least_depth: int = 3) -> DataFrame:
-    """A row per document: doc_id, class_id (smallest id of its group), n_links (documents of similarity >= threshold)."""
-    sketches = materialize(sketch(docs, id_col, text_col), "sketches")
+def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, recall: float = 0.999, least_depth: int = 3, trees: int = TREES) -> DataFrame:
+    """A row per document: id, digest (of the text), class_id, n_links, and first (whether it stands for its group: the
+    smallest id, of one id the smallest digest)."""
+    sketches = materialize(sketch(docs, id_col, text_col, trees), "sketches")
     one = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("one")
     classes = sketches.filter("class is not null").groupBy("class").agg(F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature"), one)
     classes = materialize(classes.select("class", "copies", "signature", F.col("one.id").alias("w_id"), F.col("one.digest").alias("w_digest")), "classes")
@@ -258,34 +259,42 @@ def jaccard_join(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     sets: DataFrame | None = None
     for depth in range(DEPTH, least_depth - 1, -1):
         first = depth == DEPTH
-        members = materialize(buckets(classes, depth, first), "buckets")
+        members = materialize(buckets(classes, depth, first, trees), "buckets")
         wanted = members.select("class").distinct()
         if sets is not None:
             wanted = wanted.join(sets.select("class"), "class", "left_anti")
         chosen = classes.join(wanted, "class", "left_semi")
         more = materialize(shingle_sets(docs, chosen, id_col, text_col).join(classes.select("class", "copies", "signature"), "class"), "shingles")
         sets = more if sets is None else sets.unionByName(more)
-        results.append(materialize(verify(members, sets, depth, first, threshold), "links"))
+        results.append(materialize(verify(members, sets, depth, first, threshold, trees), "links"))
         everything = results[0]
         for r in results[1:]:
             everything = everything.unionByName(r)
         found, expected = everything.agg(F.sum("found"), F.sum(F.col("expected")[DEPTH - depth])).first()
-        if not found or found >= recall * expected:
-            if found or chance(threshold, depth) >= recall - 0.01:
-                break
+        # without a link the least chance of one has to do
+        if found >= recall * expected if found else chance(threshold, depth, trees) >= recall:
+            break
     labels = components(everything.select(F.col("class").alias("a"), F.col("root").alias("b")))
     linked = everything.groupBy("class").agg(F.sum("links").alias("links"))
     by_class = classes.select("class", "copies").join(linked, "class", "left").join(labels.withColumnRenamed("node", "class"), "class", "left")
     by_class = by_class.select("class", F.coalesce("label", "class").alias("label"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    placed = sketches.select("id", "class").join(by_class, "class", "left")
-    named = placed.filter("label is not null").groupBy("label").agg(F.min("id").alias("class_id"))
-    return placed.join(named, "label", "left").select(F.col("id").alias("doc_id"), F.when(F.col("label").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    placed = sketches.select("id", "digest", "class").join(by_class, "class", "left")
+    named = placed.filter("label is not null").groupBy("label").agg(one)
+    alone = F.col("label").isNull()
+    stands = F.col("id").eqNullSafe(F.col("one.id")) & F.col("digest").eqNullSafe(F.col("one.digest"))
+    return placed.join(named, "label", "left").select("id", "digest", F.when(alone, F.col("id")).otherwise(F.col("one.id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), (alone | F.coalesce(stands, F.lit(False))).alias("first"))
+
+
+def jaccard_join(docs: DataFrame, **options) -> DataFrame:
+    """A row per document: doc_id, class_id (smallest id of its group), n_links (documents of similarity >= threshold)."""
+    return groups(docs, **options).select(F.col("id").alias("doc_id"), "class_id", "n_links")
 
 
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents with the smallest id of their group, with their own columns; of repeated rows one."""
-    found = materialize(jaccard_join(docs, id_col=id_col, text_col=text_col, **options), "groups")
-    dropped = found.filter(~F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("__id"))
-    left = docs.join(broadcast_if(dropped, dropped.count(), 1_000_000), docs[id_col].eqNullSafe(F.col("__id")), "left_anti")
-    repeated = found.groupBy("doc_id").count().filter("count > 1").limit(1).count()
+    """The documents that stand for their groups, with their own columns; of repeated rows one."""
+    found = materialize(groups(docs, id_col=id_col, text_col=text_col, **options), "groups")
+    dropped = found.filter("not first").select(F.col("id").alias("__id"), F.col("digest").alias("__digest")).distinct()
+    on = docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__digest"))
+    left = docs.join(broadcast_if(dropped, dropped.count(), 1_000_000), on, "left_anti")
+    repeated = found.filter("first").groupBy("id", "digest").count().filter("count > 1").limit(1).count()
     return left.dropDuplicates([id_col, text_col]) if repeated else left
