@@ -39,7 +39,7 @@ def phrase_hits(text: Column, phrases: tuple[str, ...] = lex.BAD_PHRASES) -> Col
 def word_hits(text: Column, words: tuple[str, ...] = lex.ENGLISH_TERMS) -> Column:
     """Words or terms that stand alone in a text, in any case."""
     pattern = lambda w: rf"(?iU)(?<!\w)(?:{w})(?!\w)"
-    some = text.rlike(pattern("|".join(map(quoted, words))))
+    some = text.rlike("(?iu)" + "|".join(map(quoted, words))) & text.rlike(pattern("|".join(map(quoted, words))))
     return _guarded(some, _hits([(w, text.rlike(pattern(quoted(w)))) for w in words]))
 
 
@@ -56,7 +56,7 @@ def pattern_hits(text: Column, patterns: tuple[tuple[str, str], ...] = lex.BAD_P
 def added_conversions(source: Column, target: Column) -> Column:
     """Conversions that a target text has and its source lacks."""
     new = lambda p: F.lower(target).rlike(f"(?U){p}") & ~F.lower(source).rlike(f"(?U){p}")
-    acre = target.rlike(r"(?iU)\bacre\b[^.\n]*\bha\b") & ~source.rlike(r"(?iU)\bha\b|\bhectare\b")
+    acre = target.rlike("(?i)acre") & target.rlike(r"(?iU)\bacre\b[^.\n]*\bha\b") & ~source.rlike(r"(?iU)\bha\b|\bhectare\b")
     return _hits([("added imperial conversion", new(lex.IMPERIAL)), ("added conversion parentheses", new(lex.IMPERIAL_ASIDE)), ("added acre-to-hectare conversion", acre)])
 
 
@@ -71,27 +71,33 @@ def too_long(source: Column, target: Column, ratio: float, padding: int) -> Colu
 
 
 def first_reason(user: Column, assistant: Column, source_user: Column, source_assistant: Column, *, phrases=lex.BAD_PHRASES, words=lex.ENGLISH_TERMS, headings=lex.ENGLISH_HEADINGS, patterns=lex.BAD_PATTERNS, shown: int = 12, user_bound=(2.6, 140), assistant_bound=(1.8, 256)) -> Column:
-    """The first check that a translated pair fails, or null. user and assistant are normalised texts."""
-    both = F.concat(user, F.lit("\n"), assistant)
+    """The first check that a translated pair fails, or null. user and assistant are normalised texts.
+
+    Checks run in order and stop at the first that fails; each list of hits is made once.
+    """
     empty = F.lit("")
-    source = tx.normalize_text(F.concat(F.coalesce(source_user, empty), F.lit("\n"), F.coalesce(source_assistant, empty)))
-    has_source = (F.coalesce(source_user, empty) != "") | (F.coalesce(source_assistant, empty) != "")
-    listed = lambda title, hits: F.concat(F.lit(title + ": "), F.array_join(F.slice(hits, 1, shown), ", "))
-    checks: list[tuple[Column, Column]] = [
-        (tx.strip(F.coalesce(user, empty)) == "", F.lit("empty translated user turn")),
-        (tx.strip(F.coalesce(assistant, empty)) == "", F.lit("empty translated assistant turn")),
-        (user == assistant, F.lit("user and assistant translations are identical")),
-    ]
-    for title, hits in (("forbidden phrases", phrase_hits(both, phrases)), ("untranslated terms", word_hits(both, words)), ("foreign headings", heading_hits(both, headings)), ("pattern failures", pattern_hits(both, patterns))):
-        checks.append((F.size(hits) > 0, listed(title, hits)))
-    for title, hits in (("missing numerals", missing_numbers(source, both)), ("conversion issues", added_conversions(source, both))):
-        checks.append((has_source & (F.size(hits) > 0), listed(title, hits)))
-    for name, own, target, (ratio, padding) in (("assistant", source_assistant, assistant, assistant_bound), ("user", source_user, user, user_bound)):
-        checks.append(((F.coalesce(own, empty) != "") & too_long(own, target, ratio, padding), F.lit(f"{name} translation too long")))
-    out = F.lit(None).cast("string")
-    for test, reason in reversed(checks):
-        out = F.when(test, reason).otherwise(out)
-    return out
+    given = lambda c: F.coalesce(c, empty)
+    none = F.lit(None).cast("string")
+
+    def listed(title: str, hits: Column, otherwise: Column) -> Column:
+        return tx.let(hits, lambda h: F.when(F.size(h) > 0, F.concat(F.lit(title + ": "), F.array_join(F.slice(h, 1, shown), ", "))).otherwise(otherwise))
+
+    # from the last check to the first
+    reason = F.when((given(source_user) != "") & too_long(source_user, user, *user_bound), "user translation too long").otherwise(none)
+    reason = F.when((given(source_assistant) != "") & too_long(source_assistant, assistant, *assistant_bound), "assistant translation too long").otherwise(reason)
+    both = F.concat(user, F.lit("\n"), assistant)
+    lengths = reason
+
+    def against_source(source: Column) -> Column:
+        return listed("missing numerals", missing_numbers(source, both), listed("conversion issues", added_conversions(source, both), lengths))
+
+    has_source = (given(source_user) != "") | (given(source_assistant) != "")
+    reason = F.when(has_source, tx.let(tx.normalize_text(F.concat(given(source_user), F.lit("\n"), given(source_assistant))), against_source)).otherwise(none)
+    for title, hits in (("pattern failures", pattern_hits(both, patterns)), ("foreign headings", heading_hits(both, headings)), ("untranslated terms", word_hits(both, words)), ("forbidden phrases", phrase_hits(both, phrases))):
+        reason = listed(title, hits, reason)
+    reason = F.when(user == assistant, "user and assistant translations are identical").otherwise(reason)
+    reason = F.when(tx.strip(given(assistant)) == "", "empty translated assistant turn").otherwise(reason)
+    return F.when(tx.strip(given(user)) == "", "empty translated user turn").otherwise(reason)
 
 
 def hint_count(text: Column, hints: tuple[str, ...]) -> Column:

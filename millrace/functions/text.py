@@ -1,11 +1,14 @@
 """Text normalisation and extraction as column expressions.
 
 Patterns run with Unicode classes ((?U)), and white space includes U+001C to U+001F, so that word and blank mean what
-they mean to a Unicode-aware scanner. Nothing here leaves the JVM.
+they mean to a Unicode-aware scanner. Such classes are slow to search for, so a cheap test that is true at least wherever
+the pattern matches comes first where there is one. Nothing here leaves the JVM.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column
@@ -13,17 +16,19 @@ from pyspark.sql import functions as F
 
 from millrace.functions.lexicons import RATE_REWRITES, UNIT_REWRITES, WRONG_CONVERSION
 
-SPACE = r"[\s\x1c-\x1f]"
+#: All white space, as a pattern and as characters.
+SPACE = r"[\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
+SPACES = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip(text: Column) -> Column:
     """Without white space, of any script, at both ends."""
-    return F.regexp_replace(text, rf"(?U)^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(text, F.lit(SPACES))
 
 
 def squeeze(text: Column) -> Column:
     """Runs of white space as one blank."""
-    return F.regexp_replace(text, rf"(?U){SPACE}+", " ")
+    return F.regexp_replace(text, rf"{SPACE}+", " ")
 
 
 def norm(text: Column) -> Column:
@@ -40,17 +45,34 @@ def row_key(instruction: Column, response: Column) -> Column:
 def word_count(text: Column) -> Column:
     """White-space separated words; 0 for an empty text."""
     bare = strip(F.coalesce(text, F.lit("")))
-    return F.when(bare == "", 0).otherwise(F.size(F.split(bare, rf"(?U){SPACE}+")))
+    return F.when(bare == "", 0).otherwise(F.size(F.split(bare, rf"{SPACE}+")))
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value evaluated once, however often use mentions it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def _rewrite(text: Column, rules: tuple[tuple[str, str], ...]) -> Column:
     return reduce(lambda t, rule: F.regexp_replace(t, f"(?iU){rule[0]}", rule[1]), rules, text)
 
 
+def _needs_digit(pattern: str) -> bool:
+    return bool(re.search(r"[0-9]|\\d", re.sub(r"\{[^}]*\}|p2o5|k2o", "", pattern)))
+
+
 def normalize_units(text: Column) -> Column:
-    """Unit spellings in one form; the order of the rewrites matters."""
-    plain = F.translate(F.coalesce(text, F.lit("")), "‑–", "--")
-    return _rewrite(plain, UNIT_REWRITES)
+    """Unit spellings in one form; the order of the rewrites matters.
+
+    All but three rewrites need a digit, and those need a word that few texts have, so that most texts cost two searches.
+    """
+    wordy = tuple(rule for rule in UNIT_REWRITES if not _needs_digit(rule[0]))
+
+    def rewritten(plain: Column) -> Column:
+        without_digit = F.when(plain.rlike(r"(?iu)spp|[lgtokpn5][^\p{L}\p{N}_]+ha"), _rewrite(plain, wordy)).otherwise(plain)
+        return F.when(plain.rlike(r"(?U)\d"), _rewrite(plain, UNIT_REWRITES)).otherwise(without_digit)
+
+    return let(F.translate(F.coalesce(text, F.lit("")), "‑–", "--"), rewritten)
 
 
 def strip_wrong_conversions(text: Column) -> Column:
@@ -62,7 +84,7 @@ def normalize_text(text: Column) -> Column:
     """Units, rates and blanks in one form, with line breaks kept."""
     units = normalize_units(strip(F.coalesce(text, F.lit(""))))
     lines = F.regexp_replace(F.regexp_replace(units, r"[ \t]+", " "), r" ?\n ?", "\n")
-    return strip(_rewrite(lines, RATE_REWRITES))
+    return let(lines, lambda t: strip(F.when(F.contains(t, F.lit("/")), _rewrite(t, RATE_REWRITES)).otherwise(t)))
 
 
 def canonical_number(number: Column) -> Column:
@@ -75,11 +97,15 @@ def canonical_number(number: Column) -> Column:
 
 def extract_numbers(text: Column) -> Column:
     """The distinct canonical numbers of a text."""
-    units = normalize_units(text)
-    # commas with three digits behind them, inside a group that begins with one to three digits
-    joined = F.regexp_replace(units, r"(?<=(?<![\p{L}\p{N}_])\d{1,3}(?:,\d{3}){0,6}),(?=\d{3}(?:,\d{3})*(?![\p{L}\p{N}_]))", "")
-    points = F.regexp_replace(joined, r"(?U)\b(\d+),(\d+)\b", "$1.$2")
-    return F.array_distinct(F.transform(F.regexp_extract_all(points, F.lit(r"(?U)\d+(?:\.\d+)?"), F.lit(0)), canonical_number))
+
+    def found(plain: Column) -> Column:
+        # commas with three digits behind them, inside a group that begins with one to three digits
+        joined = F.regexp_replace(normalize_units(plain), r"(?<=(?<![\p{L}\p{N}_])\d{1,3}(?:,\d{3}){0,6}),(?=\d{3}(?:,\d{3})*(?![\p{L}\p{N}_]))", "")
+        points = F.regexp_replace(joined, r"(?U)\b(\d+),(\d+)\b", "$1.$2")
+        numbers = F.array_distinct(F.transform(F.regexp_extract_all(points, F.lit(r"(?U)\d+(?:\.\d+)?"), F.lit(0)), canonical_number))
+        return F.when(plain.rlike(r"(?U)\d"), numbers).otherwise(F.array().cast("array<string>"))
+
+    return let(F.coalesce(text, F.lit("")), found)
 
 
 def clip(text: Column, limit: int = 160) -> Column:
