@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, line_rules, mixing, near_duplicates, perplexity, secrets, sequences, suffix_dedup, token_counts, warc
+from millrace.llm.oracles import ORACLES  # noqa: F401
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,8 +54,19 @@ def op9_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contaminated(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-
-
-QUERIES = {"op5_suffix_dedup": op5_suffix_dedup, "op7_jaccard_join": op7_jaccard_join, "op2_perplexity": op2_perplexity, "op10_decontaminate": op10_decontaminate, "op1_warc": op1_warc, "op4_sequences": op4_sequences, "op3_mixing": op3_mixing, "op6_token_counts": op6_token_counts, "op8_secrets": op8_secrets, "op9_line_rules": op9_line_rules}
-ORACLES: dict[str, str] = {}
+    found = decontaminate.contaminated(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.withColumn("items", F.array_join(F.col("items").cast("array<string>"), ","))
+
+
+QUERIES = {
+    "op1_warc": op1_warc,
+    "op2_perplexity": op2_perplexity,
+    "op3_mixing": op3_mixing,
+    "op4_sequences": op4_sequences,
+    "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_token_counts": op6_token_counts,
+    "op7_jaccard_join": op7_jaccard_join,
+    "op8_secrets": op8_secrets,
+    "op9_line_rules": op9_line_rules,
+    "op10_decontaminate": op10_decontaminate,
+}
