@@ -87,6 +87,15 @@ def alternating(messages: Column, first: str = "user", last: str = "assistant")
     return F.when(F.try_element_at(rest, F.lit(-1))["role"] == last, rest).otherwise(F.array().cast(TURNS))
 
 
+def dialog_messages(messages: Column, instruction: Column, response: Column, *, merge: bool = True) -> Column:
+    """A row's dialog: its cleaned messages, else instruction and response; merged into alternating turns, or as it is."""
+    one, two = (strip(F.coalesce(c, F.lit(""))) for c in (instruction, response))
+    pair = F.array(F.struct(F.lit("user").alias("role"), one.alias("content")), F.struct(F.lit("assistant").alias("role"), two.alias("content")))
+    own = clean(F.coalesce(messages, F.array().cast(TURNS)))
+    raw = F.when(F.size(own) > 0, own).when((one != "") & (two != ""), pair).otherwise(F.array().cast(TURNS))
+    return alternating(raw) if merge else raw
+
+
 def inject_system(messages: Column, prompt: str) -> Column:
     """With a system turn in front where there is none."""
     opening = F.coalesce(F.get(messages, F.lit(0))["role"], F.lit(""))

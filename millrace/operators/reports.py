@@ -58,3 +58,36 @@ def gate(rows: DataFrame, holds: Column, message: str) -> DataFrame:
     """rows, or an error when they are acted on and a condition over them doesn't hold."""
     checked = rows.agg(F.assert_true(holds, message).alias("__checked"))
     return rows.crossJoin(F.broadcast(checked)).filter(F.col("__checked").isNull()).drop("__checked")
+
+
+def sampled_share(rows: DataFrame, test: Column, position: str, sample: int = 64) -> DataFrame:
+    """One row: of the first rows by position, how many pass a test, and their part."""
+    head = rows.withColumn("__test", test).orderBy(position).limit(sample)
+    return head.agg(F.count(F.lit(1)).alias("sampled"), F.count_if("__test").alias("n"), fraction(F.count_if("__test"), F.count(F.lit(1))).alias("part"))
+
+
+def all_ignored(labels: Column, ignored: int = -100) -> Column:
+    """Whether a row has labels and all of them are ignored, or has none."""
+    return labels.isNull() | ((F.size(labels) > 0) & F.forall(labels, lambda x: x == ignored))
+
+
+def missing_fields(*names: str) -> Column:
+    """Names of the fields that are null or blank."""
+    return F.array_compact(F.array(*[F.when(F.trim(F.coalesce(F.col(n).cast("string"), F.lit(""))) == "", F.lit(n)) for n in names]))
+
+
+def patched_tags(tags: Column, *, drop: tuple[str, ...] = (), first: tuple[str, ...] = (), last: tuple[str, ...] = ()) -> Column:
+    """Tags without some, and with others in front or behind where they are missing."""
+    out = F.filter(F.coalesce(tags, F.array().cast("array<string>")), lambda t: ~t.isin(*drop)) if drop else F.coalesce(tags, F.array().cast("array<string>"))
+    for tag in first:
+        out = F.when(F.array_contains(out, tag), out).otherwise(F.array_prepend(out, tag))
+    for tag in last:
+        out = F.when(F.array_contains(out, tag), out).otherwise(F.array_append(out, tag))
+    return out
+
+
+def card(rows: DataFrame, title: str, language: str = "language", source: str = "source") -> str:
+    """A data set's card in markdown, from two small aggregations."""
+    n = rows.count()
+    table = lambda by: "\n".join(f"| {r[by]} | {r['n']:,} |" for r in counts(rows, by).orderBy(by).limit(200).collect())
+    return f"# {title}\n\n{n:,} rows\n\n| {language} | rows |\n|---|---|\n{table(language)}\n\n| {source} | rows |\n|---|---|\n{table(source)}\n"

@@ -118,3 +118,26 @@ def top_up(chosen: DataFrame, pool: DataFrame, key: str, floor_tokens: int, per_
     short = chosen.agg((F.count(F.lit(1)) * per_row < floor_tokens).alias("__short"))
     extra = pool.join(chosen.select(key), key, "left_anti").crossJoin(F.broadcast(short)).filter("__short").drop("__short")
     return chosen.unionByName(extra, allowMissingColumns=True)
+
+
+def training_set(pools: DataFrame, shares: DataFrame, *, base: str, fractions: dict[str, float], seed: int, key: str = "source_id", legacy: bool = False) -> DataFrame:
+    """Rows with part: train, eval or heldout. pools: pool and key columns; shares: pool, share of the base pool.
+
+    Each pool is split before it is mixed, and each pool's train rows are sampled to their share. Held-out rows come from
+    the split; legacy leaves pools without a fraction unsplit and draws their held-out rows from the training rows, as
+    older runs did, which leaks.
+    """
+    fraction = F.lit(0.0)
+    for pool, f in fractions.items():
+        fraction = F.when(F.col("pool") == pool, f).otherwise(fraction)
+    ranked = ranked_within(pools, "pool", seed, "pool", key)
+    sizes = pools.groupBy("pool").agg(F.count(F.lit(1)).alias("__n")).withColumn("__test", F.when(fraction > 0, F.greatest(F.lit(1), F.bround(F.col("__n") * fraction))).otherwise(0).cast("long"))
+    cut = ranked.join(F.broadcast(sizes.limit(100_000)), "pool")
+    train, test = cut.filter(F.col("place") > F.col("__test")), cut.filter(F.col("place") <= F.col("__test")).select(*pools.columns, F.lit("heldout").alias("part"))
+    count = train.filter(F.col("pool") == base).agg(F.count(F.lit(1)).alias("base"))
+    mixed = mixture(train.select(*pools.columns), count, shares, seed + 1, "pool", key).select(*pools.columns, F.lit("train").alias("part"))
+    if not legacy:
+        return mixed.unionByName(test)
+    unsplit = mixed.filter(~F.col("pool").isin(*fractions)) if fractions else mixed
+    leaked = unsplit.withColumn("__k", F.row_number().over(Window.partitionBy("pool").orderBy(order_key(seed + 7, "pool", key)))).filter(F.col("__k") <= 250).select(*pools.columns, F.lit("heldout").alias("part"))
+    return mixed.unionByName(test).unionByName(leaked)

@@ -151,3 +151,10 @@ def render_splice(spark: SparkSession, sf_dir: str) -> DataFrame:
     line = lambda turns: F.array_join(F.transform(turns, lambda t: F.concat(t["role"], F.lit(":"), t["content"], F.lit("\n"))), "")
     rows = conversations(spark, sf_dir).select("conv_id", line(F.col("messages")).alias("w"), line(F.slice("messages", 1, 2)).alias("p"))
     return rows.select("conv_id", F.sha1(dialog.splice(F.col("w"), F.col("p"))).alias("completion"))
+
+
+@query(sql_digest(f"(SELECT conv_id, turn, role, content FROM {CLEAN} WHERE conv_id % 2 = 0 UNION ALL SELECT conv_id, 0, 'user', 'q' FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id % 2 = 1) UNION ALL SELECT conv_id, 1, 'assistant', 'a' FROM (SELECT DISTINCT conv_id FROM conversations WHERE conv_id % 2 = 1))"))
+def dialog_fallback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = conversations(spark, sf_dir).withColumn("messages", F.when(F.col("conv_id") % 2 == 0, F.col("messages")))
+    found = rows.select("conv_id", dialog.dialog_messages(F.col("messages"), F.lit(" q "), F.lit("a"), merge=False).alias("m")).filter(F.size("m") > 0)
+    return found.select("conv_id", F.size("m").cast("long").alias("n"), digest(F.col("m")).alias("digest"))

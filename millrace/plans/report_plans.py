@@ -184,3 +184,46 @@ def suffix_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     suffix = F.when(F.col("l_linenumber") == 1, ".in_sum2").when(F.col("l_linenumber") == 2, ".counts").otherwise(".other")
     names = table(spark, sf_dir, "lineitem").select(F.concat(F.lit("blk."), "l_orderkey", suffix).alias("name"))
     return manifest.paired(names, "name", r"\.in_sum2", r"\.counts")
+
+
+@query("SELECT CAST(count(*) AS BIGINT) AS sampled, CAST(count(*) FILTER (ignored) AS BIGINT) AS n, round_even(count(*) FILTER (ignored) / greatest(1, count(*)), 6)::DOUBLE AS part FROM (SELECT doc_id % 3 = 0 AS ignored FROM documents ORDER BY doc_id LIMIT 64)")
+def sampled_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("doc_id") % 3
+    labels = F.when(k == 0, F.array(F.lit(-100), F.lit(-100))).otherwise(F.array(F.lit(-100), F.lit(5)))
+    return reports.sampled_share(_docs(spark, sf_dir).select("doc_id", labels.alias("labels")), reports.all_ignored(F.col("labels")), "doc_id")
+
+
+@query("SELECT doc_id, concat_ws(',', CASE WHEN doc_id % 2 = 0 THEN 'lang' END, CASE WHEN n_chars < 500 THEN 'text' END) AS missing FROM documents")
+def required_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _docs(spark, sf_dir).select("doc_id", F.when(F.col("doc_id") % 2 == 0, "  ").otherwise(F.col("lang")).alias("lang"), F.when(F.col("n_chars") >= 500, F.col("text")).alias("text"), "source")
+    return rows.select("doc_id", F.array_join(reports.missing_fields("lang", "text", "source"), ",").alias("missing"))
+
+
+@query("SELECT s_suppkey, CASE s_suppkey % 3 WHEN 0 THEN 'text-generation,x' WHEN 1 THEN 'x,text-generation' ELSE 'text-generation' END AS categories, CASE s_suppkey % 3 WHEN 0 THEN 'conversational,x,new' WHEN 1 THEN 'x,text-generation,new' ELSE 'new' END AS tags FROM supplier")
+def tag_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("s_suppkey") % 3
+    tags = F.when(k == 0, F.array(F.lit("conversational"), F.lit("x"))).when(k == 1, F.array(F.lit("x"), F.lit("text-generation")))
+    shown = lambda c: F.array_join(c, ",")
+    return table(spark, sf_dir, "supplier").select("s_suppkey", shown(reports.patched_tags(tags, drop=("conversational",), first=("text-generation",))).alias("categories"), shown(reports.patched_tags(tags, last=("new",))).alias("tags"))
+
+
+@query("SELECT p_partkey, concat('1.', p_size % 4) AS wanted, CASE WHEN p_size % 5 > 0 THEN concat('1.', p_size % 3, '+cpu') END AS installed FROM part WHERE p_size % 5 = 0 OR p_size % 4 <> p_size % 3")
+def version_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts, k = table(spark, sf_dir, "part"), F.col("p_size")
+    wanted = parts.select("p_partkey", F.concat(F.lit("1."), k % 4).alias("version"))
+    installed = parts.filter(k % 5 > 0).select("p_partkey", F.concat(F.lit("1."), k % 3, F.lit("+cpu")).alias("version"))
+    return manifest.version_mismatch(wanted, installed, "p_partkey")
+
+
+@query("SELECT doc_id, doc_id % 4 <> 0 AS same FROM documents JOIN labels USING (doc_id)")
+def identical_artifacts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir).select("doc_id", F.sha2("text", 256).alias("sha256"))
+    other = _docs(spark, sf_dir).join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id").select("doc_id", F.sha2(F.when(F.col("doc_id") % 4 == 0, F.concat("text", F.lit("!"))).otherwise(F.col("text")), 256).alias("sha256"))
+    return manifest.identical(docs, other, "doc_id")
+
+
+@query("SELECT name FROM (SELECT concat(CASE p_size % 4 WHEN 0 THEN 'v.' WHEN 1 THEN 'blk.' WHEN 2 THEN 'x.MMproj.' ELSE 'vision' END, p_partkey) AS name FROM part) WHERE name LIKE 'v.%' OR contains(lower(name), 'mmproj')")
+def name_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k = F.col("p_size") % 4
+    names = table(spark, sf_dir, "part").select(F.concat(F.when(k == 0, "v.").when(k == 1, "blk.").when(k == 2, "x.MMproj.").otherwise("vision"), "p_partkey").alias("name"))
+    return manifest.name_leaks(names, "name")

@@ -107,3 +107,25 @@ def evaluation_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def top_up(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _docs(spark, sf_dir).select("doc_id", "lang", "source")
     return sampling.top_up(docs.filter("lang = 'fr'"), docs.filter("source = 'src2'"), "doc_id", 100_000_000).select("doc_id")
+
+
+_TRAINING = f"""WITH r AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY sha256(concat('8|', lang, '|', doc_id))) AS place, CASE lang WHEN 'de' THEN 0 ELSE greatest(1, round_even(count(*) OVER (PARTITION BY lang) * 0.1, 0)) END AS test FROM documents),
+ t AS (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang ORDER BY sha256(concat('9|', lang, '|', doc_id))) AS k FROM r WHERE place > test), n AS (SELECT count(*) AS base FROM t WHERE lang = 'en'),
+ m AS (SELECT doc_id, lang FROM t, n WHERE k <= round_even(base * CASE lang WHEN 'en' THEN 1.0 WHEN 'es' THEN 0.125 ELSE 0.25 END, 0))
+ SELECT doc_id, lang AS pool, 'train' AS part FROM m UNION ALL SELECT doc_id, lang, 'heldout' FROM r WHERE place <= test"""
+
+
+def _training(spark: SparkSession, sf_dir: str, legacy: bool) -> DataFrame:
+    pools = _docs(spark, sf_dir).select("doc_id", F.col("lang").alias("pool"))
+    shares = spark.createDataFrame([("en", 1.0), ("es", 0.125), ("fr", 0.25), ("de", 0.25)], "pool string, share double")
+    return sampling.training_set(pools, shares, base="en", fractions={"en": 0.1, "es": 0.1, "fr": 0.1}, seed=8, key="doc_id", legacy=legacy).select("doc_id", "pool", "part")
+
+
+@query(_TRAINING)
+def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _training(spark, sf_dir, legacy=False)
+
+
+@query(f"WITH x AS ({_TRAINING}) SELECT * FROM x UNION ALL SELECT doc_id, pool, 'heldout' FROM (SELECT *, row_number() OVER (PARTITION BY pool ORDER BY sha256(concat('15|', pool, '|', doc_id))) AS k FROM x WHERE part = 'train' AND pool = 'de') WHERE k <= 250")
+def training_set_legacy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _training(spark, sf_dir, legacy=True)

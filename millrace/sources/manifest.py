@@ -49,3 +49,30 @@ def paired(names: DataFrame, name: str, first: str, second: str) -> DataFrame:
     """(base, has_first, has_second): names with one of two suffixes (patterns), paired by what is before it."""
     marked = names.select(F.regexp_replace(name, rf"({first}|{second})$", "").alias("base"), F.col(name).rlike(rf"{first}$").alias("a"), F.col(name).rlike(rf"{second}$").alias("b")).filter("a or b")
     return marked.groupBy("base").agg(F.bool_or("a").alias("has_first"), F.bool_or("b").alias("has_second"))
+
+
+def identical(a: DataFrame, b: DataFrame, key: str = "path", digest: str = "sha256") -> DataFrame:
+    """(key, same): whether the files that both have are the same, byte for byte."""
+    return a.select(key, F.col(digest).alias("__a")).join(b.select(key, F.col(digest).alias("__b")), key).select(key, (F.col("__a") == F.col("__b")).alias("same"))
+
+
+def version_mismatch(wanted: DataFrame, installed: DataFrame, name: str = "name", version: str = "version") -> DataFrame:
+    """(name, wanted, installed): packages that are missing or of another version, local suffixes apart."""
+    plain = lambda c: F.substring_index(c, "+", 1)
+    joined = wanted.select(name, F.col(version).alias("wanted")).join(installed.select(name, F.col(version).alias("installed")), name, "left")
+    return joined.filter(~plain("wanted").eqNullSafe(plain("installed")))
+
+
+def provenance(files: DataFrame, stage: str) -> DataFrame:
+    """The files as entries of a provenance index."""
+    return files.select(F.lit(stage).alias("stage"), "path", "size", "sha256")
+
+
+def name_leaks(names: DataFrame, name: str, prefixes: tuple[str, ...] = ("v.", "a.", "audio.", "vision."), parts: tuple[str, ...] = ("mmproj",)) -> DataFrame:
+    """The names of parts that a text-only model must not have."""
+    leaks = F.lit(False)
+    for prefix in prefixes:
+        leaks = leaks | F.col(name).startswith(prefix)
+    for part in parts:
+        leaks = leaks | F.contains(F.lower(name), F.lit(part))
+    return names.filter(leaks)
