@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -47,3 +49,11 @@ def word_count(text: Column) -> Column:
 def broadcast_if(df: DataFrame, rows: int, limit: int) -> DataFrame:
     """df with a broadcast hint when its counted rows are within limit; beyond it Spark shuffles for the join."""
     return F.broadcast(df) if rows <= limit else df
+
+
+def release_memory() -> None:
+    """Give a worker's freed memory back to the system: workers are kept between tasks, and allocators keep their pools."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)

@@ -30,12 +30,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import broadcast_if, materialize, text_of
+from millrace.llm.common import broadcast_if, materialize, release_memory, text_of
 from millrace.llm.graph import components
 
 WORDS, TREES, DEPTH = 5, 16, 6
 MEMBERS = 512
-MEMO_WORDS = 250_000
+MEMO_WORDS = 60_000
 #: Shingle columns that are counted at once, and shingles whose minima are taken at once.
 COLUMNS, PIECE = 8_192, 1 << 16
 _rng = np.random.default_rng(20_240_917)
@@ -121,6 +121,8 @@ def sketch(docs: DataFrame, id_col: str, text_col: str, trees: int) -> DataFrame
                     size = 0
             flush()
             yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("digest"), pa.array(classes, pa.binary()), pa.array(minima, pa.binary())], names=["id", "digest", "class", "signature"])
+        _hashes.clear()
+        release_memory()
 
     return own.mapInArrow(rows, "id long, digest long, class binary, signature binary")
 
@@ -229,6 +231,7 @@ def verify(members: DataFrame, sets: DataFrame, depth: int, first: bool, thresho
                 held.append(row)
             yield done(out)
         yield done(judged(held) if len(held) > 1 else [])
+        release_memory()
 
     return dealt.mapInArrow(run, "class binary, root binary, links long, found long, expected array<double>")
 
@@ -244,6 +247,8 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str)
             words = [_hashes.of(x.as_py()) for x in batch.column(0)]
             found = [(xxhash.xxh3_128_digest(w.tobytes()), np.unique(shingles(w)).tobytes()) for w in words if len(w)]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) for c in (zip(*found) if found else [[]] * 2)], names=["class", "shingles"])
+        _hashes.clear()
+        release_memory()
 
     return texts.mapInArrow(rows, "class binary, shingles binary").dropDuplicates(["class"])
 
