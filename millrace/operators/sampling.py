@@ -48,7 +48,7 @@ def split(rows: DataFrame, group: str, fraction: float, seed: int, *parts: str)
     """Rows with is_test: the head of each group's seeded order."""
     ranked = ranked_within(rows, group, seed, *parts)
     counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("__n"))
-    return ranked.join(F.broadcast(counts.limit(1_000_000)), group).withColumn("is_test", F.col("place") <= test_size(F.col("__n"), fraction)).drop("__n")
+    return ranked.join(counts, group).withColumn("is_test", F.col("place") <= test_size(F.col("__n"), fraction)).drop("__n")
 
 
 def balanced(rows: DataFrame, group: str, per_group: int, seed: int, *parts: str) -> DataFrame:
@@ -66,7 +66,7 @@ def mixture(pool: DataFrame, base_count: DataFrame, shares: DataFrame, seed: int
     """Rows of each pool up to round(base * share). base_count: one row, base. shares: pool, share."""
     ranked = ranked_within(pool, "pool", seed, *parts)
     targets = shares.crossJoin(base_count).select(F.col("pool").alias("__pool"), F.bround(F.col("base") * F.col("share")).cast("long").alias("target"))
-    return ranked.join(F.broadcast(targets), F.col("pool") == F.col("__pool")).filter("place <= target").drop("__pool")
+    return ranked.join(targets, F.col("pool") == F.col("__pool")).filter("place <= target").drop("__pool")
 
 
 def evaluation_caps(n_english: Column, n_swahili: Column, most: int = 500) -> Column:
@@ -91,7 +91,7 @@ def interleave(rows: DataFrame, kind: str, quota: dict[str, int], tokens: str, t
     per = F.create_map(*[x for k, n in quota.items() for x in (F.lit(k), F.lit(n))])
     grouped = ranked.withColumn("group_no", F.floor((F.col("place") - 1) / per[F.col(kind)])).withColumn("counted", F.when(F.col(tokens) >= least, F.col(tokens)).otherwise(0))
     sums = grouped.groupBy("group_no").agg(F.sum("counted").alias("__t"))
-    before = sums.withColumn("tokens_before", F.coalesce(F.sum("__t").over(Window.orderBy("group_no").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long")).filter(F.col("tokens_before") < target).drop("__t")
+    before = running(sums, F.floor(F.col("group_no") / 1_000), [F.col("group_no")], F.col("__t"), "tokens_before").filter(F.col("tokens_before") < target).drop("__t")
     return grouped.join(before, "group_no").filter(F.col(tokens) >= least).drop("counted")
 
 
@@ -132,7 +132,7 @@ def training_set(pools: DataFrame, shares: DataFrame, *, base: str, fractions: d
         fraction = F.when(F.col("pool") == pool, f).otherwise(fraction)
     ranked = ranked_within(pools, "pool", seed, "pool", key)
     sizes = pools.groupBy("pool").agg(F.count(F.lit(1)).alias("__n")).withColumn("__test", F.when(fraction > 0, F.greatest(F.lit(1), F.bround(F.col("__n") * fraction))).otherwise(0).cast("long"))
-    cut = ranked.join(F.broadcast(sizes.limit(100_000)), "pool")
+    cut = ranked.join(sizes, "pool")
     train, test = cut.filter(F.col("place") > F.col("__test")), cut.filter(F.col("place") <= F.col("__test")).select(*pools.columns, F.lit("heldout").alias("part"))
     count = train.filter(F.col("pool") == base).agg(F.count(F.lit(1)).alias("base"))
     mixed = mixture(train.select(*pools.columns), count, shares, seed + 1, "pool", key).select(*pools.columns, F.lit("train").alias("part"))
