@@ -52,6 +52,17 @@ def test_token_files_hold_the_mix(steps):
         start += n
 
 
+def test_odd_inputs(spark, odd_docs, no_docs):
+    """Each stage over nulls, empty and long texts, repeated rows and ids, clashing columns; and over no rows."""
+    for docs in (odd_docs, no_docs):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            found = stage(spark, docs, FOLDER)
+            assert found.columns == docs.columns
+            rows = found.count()
+            assert rows <= 2 * docs.count() and (rows > 0) == (docs is odd_docs)
+        assert corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER).count() == docs.count()
+
+
 def test_run_and_registration(spark, steps):
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
     again = corpus_pipeline.run(spark, FOLDER)
