@@ -125,4 +125,6 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
     counted = distinct.mapInArrow(encode, "content binary, n_tokens long")
     counted.select("content", version.alias("version"), "n_tokens").write.mode("append").parquet(cache_path)
     counts = spark.read.schema(CACHE_SCHEMA).parquet(cache_path).filter(F.col("version") == version).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
+    # written, so that both sides are dealt for the join alone and Spark can split the copies of a frequent text
+    counts = materialize(counts, "token-counts")
     return keyed.join(counts, "content").select(F.col("id").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
