@@ -158,12 +158,15 @@ def taken_words(docs: DataFrame, **options) -> DataFrame:
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
-    """The mixed documents with their own columns: each as many times as it is taken, dealt to its shards in order."""
-    id_col = options.get("id_col", "doc_id")
+    """The mixed documents with their own columns, each as many times as it is taken: shard after shard, and inside a
+    shard in its seeded order. Partitions are ranges of that order, so that a shard is read from any number of them."""
+    id_col, source_col = options.get("id_col", "doc_id"), options.get("source_col", "source")
     _, picks = mix(docs, **options)
     # the decision is the same for rows that agree in id, so that one pick list per id and copy is joined to them
     chosen = picks.groupBy("id", "source", "copy").agg(F.min("shard").alias("shard"), F.min("order_key").alias("order_key"))
-    p = chosen.select(F.col("id").alias("__id"), F.col("source").alias("__source"), F.col("shard").alias("__shard"), F.col("order_key").alias("__order"))
-    p = materialize(p, "mix-picks")
-    on = docs[id_col].eqNullSafe(F.col("__id")) & docs[options.get("source_col", "source")].eqNullSafe(F.col("__source"))
-    return docs.join(broadcast_if(p, p.count(), 500_000), on).drop("__id", "__source", "__shard", "__order")
+    p = materialize(chosen.select(F.col("id").alias("__id"), F.col("source").alias("__source"), F.col("shard").alias("__shard"), F.col("order_key").alias("__order")), "mix-picks")
+    on = docs[id_col].eqNullSafe(F.col("__id")) & docs[source_col].eqNullSafe(F.col("__source"))
+    joined = docs.join(broadcast_if(p, p.count(), 500_000), on)
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = joined.repartitionByRange(parts, "__shard", "__order").sortWithinPartitions("__shard", "__order")
+    return ordered.drop("__id", "__source", "__shard", "__order")
