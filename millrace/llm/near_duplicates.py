@@ -283,8 +283,9 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", t
     linked = everything.groupBy("class").agg(F.sum("links").alias("links"))
     by_class = classes.select("class", "copies").join(linked, "class", "left").join(labels.withColumnRenamed("node", "class"), "class", "left")
     by_class = by_class.select("class", F.coalesce("label", "class").alias("label"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
-    placed = sketches.select("id", "digest", "class").join(by_class, "class", "left")
-    named = placed.filter("label is not null").groupBy("label").agg(one)
+    # written, so that the joins' sides are dealt for them alone and Spark can split a large class or group
+    placed = materialize(sketches.select("id", "digest", "class").join(materialize(by_class, "labels"), "class", "left"), "placed")
+    named = materialize(placed.filter("label is not null").groupBy("label").agg(one), "named")
     alone = F.col("label").isNull()
     stands = F.col("id").eqNullSafe(F.col("one.id")) & F.col("digest").eqNullSafe(F.col("one.digest"))
     return placed.join(named, "label", "left").select("id", "digest", F.when(alone, F.col("id")).otherwise(F.col("one.id")).alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), (alone | F.coalesce(stands, F.lit(False))).alias("first"))
