@@ -5,6 +5,8 @@ from __future__ import annotations
 import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +14,7 @@ from pyspark.sql import functions as F
 
 #: A word: a run of characters that are neither the blank nor one of tab, newline, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_ROWS = 500
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,10 +32,23 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex[:12]}"
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """While this holds, jobs pass texts to Python in batches of BATCH_ROWS rows, so that long texts need little memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df below the shared folder and read it back: its lineage ends there, and it outlives lost executors."""
     path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with small_batches(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

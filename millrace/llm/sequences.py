@@ -32,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import broadcast_if, materialize, release_memory, text_of, work_path
+from millrace.llm.common import broadcast_if, materialize, release_memory, small_batches, text_of, work_path
 
 MAGIC = "ARROW1"
 LENGTH = 2048
@@ -186,7 +186,8 @@ def write_sequences(docs: DataFrame, path: str, tokenizer_path: str, *, id_col:
         release_memory()
 
     files = ordered.mapInArrow(encode, "file binary")
-    files.select(F.col("file").cast("string").alias("value")).write.option("lineSep", MAGIC).option("maxRecordsPerFile", 1).text(path)
+    with small_batches(spark):
+        files.select(F.col("file").cast("string").alias("value")).write.option("lineSep", MAGIC).option("maxRecordsPerFile", 1).text(path)
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import materialize, text_of, work_path
+from millrace.llm.common import materialize, small_batches, text_of, work_path
 
 MARK = "▁"
 #: Units that a worker's memo holds at most; it starts anew beyond them.
@@ -123,7 +123,8 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
             yield pa.RecordBatch.from_arrays([batch.column("content"), counts], names=["content", "n_tokens"])
 
     counted = distinct.mapInArrow(encode, "content binary, n_tokens long")
-    counted.select("content", version.alias("version"), "n_tokens").write.mode("append").parquet(cache_path)
+    with small_batches(spark):
+        counted.select("content", version.alias("version"), "n_tokens").write.mode("append").parquet(cache_path)
     counts = spark.read.schema(CACHE_SCHEMA).parquet(cache_path).filter(F.col("version") == version).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
     # written, so that both sides are dealt for the join alone and Spark can split the copies of a frequent text
     counts = materialize(counts, "token-counts")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import broadcast_if, materialize, work_path
+from millrace.llm.common import broadcast_if, materialize, small_batches, work_path
 
 VERSION = b"WARC/1.1\r\n"
 #: Fixed values of the format.
@@ -114,7 +114,8 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["record"])
 
     written = dealt.mapInArrow(records, "record binary").select(F.col("record").cast("string").alias("value"))
-    written.write.option("lineSep", "\r\n").option("compression", "gzip").text(path)
+    with small_batches(pages.sparkSession):
+        written.write.option("lineSep", "\r\n").option("compression", "gzip").text(path)
 
 
 def parse_record(data: bytes) -> tuple[dict[bytes, bytes], bytes, bool]:
