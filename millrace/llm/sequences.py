@@ -40,7 +40,7 @@ LENGTH = 2048
 FILE_IDS = 4_000_000
 BATCH_ROWS = 256
 #: Units that each of the memo's two generations holds.
-MEMO_UNITS = 100_000
+MEMO_UNITS = 300_000
 #: Units longer than this aren't remembered.
 MEMO_CHARS = 64
 DOCS = pa.list_(pa.struct([("doc_id", pa.int64()), ("offset", pa.int64()), ("n_tokens", pa.int64())]))
@@ -60,11 +60,14 @@ class Memo(dict):
     def __missing__(self, unit: str) -> bytes:
         ids = self.old.get(unit)
         if ids is None:
-            # letters and the mark after them are different pre-tokens
-            if unit[-1] in ".,;:!?" and unit[:-1].isalpha():
-                ids = self[unit[:-1]] + self[unit[-1]]
-            elif self.lowered and unit.isalpha():
+            if self.lowered and unit.isalpha():
                 ids = self.encoder.word(unit)
+            elif unit[-1] in ".,;:!?" and unit[:-1].isalpha():
+                # letters and the mark after them are different pre-tokens; of a rare word only the word is kept
+                known = unit[:-1] in self
+                ids = self[unit[:-1]] + self[unit[-1]]
+                if not known:
+                    return ids
             else:
                 ids = self.encoder.direct(unit)
         if len(unit) <= MEMO_CHARS:
@@ -85,11 +88,12 @@ class Encoder:
         self.model.no_padding()
         self.dtype = np.dtype("<u2") if self.model.get_vocab_size(with_added_tokens=True) <= 1 << 16 else np.dtype("<u4")
         with open(path, encoding="utf-8") as file:
-            spec = json.load(file)
+            text = file.read()
+        # the vocabulary is not needed here
+        spec = json.loads(text[: text.index('"model"')] + '"model": null}')
         parts = lambda x, key: (x or {}).get(key) or ([x] if x else [])
         normal = [p["type"] for p in parts(spec.get("normalizer"), "normalizers")]
         breaks = [p for p in parts(spec.get("pre_tokenizer"), "pretokenizers") if p["type"] == "Split" and p["invert"] and p["behavior"] == "Removed"]
-        del spec["model"]
         pattern = breaks[0]["pattern"].get("Regex", "") if breaks else ""
         letters_apart = pattern.endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         added = [a["content"] for a in spec.get("added_tokens", [])]
