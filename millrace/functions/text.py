@@ -57,6 +57,11 @@ def _rewrite(text: Column, rules: tuple[tuple[str, str], ...]) -> Column:
     return reduce(lambda t, rule: F.regexp_replace(t, f"(?iU){rule[0]}", rule[1]), rules, text)
 
 
+#: What a text without digits must have for a rewrite to match: spp, or a unit or nutrient as a word, a gap, and ha; in
+#: either case, with the long s and the Kelvin sign, which are s and k to a search without case.
+_WORDY = r"[sS\u017f][pP][pP]|(?:^|[^\p{L}\p{Nd}_])(?:[lLgGtTnNpPkK\u212a]|[kK\u212a][gG]|[mM][lL]|[pP]2[oO]5|[kK\u212a]2[oO])[^\p{L}\p{Nd}_]+[hH][aA]"
+
+
 def _needs_digit(pattern: str) -> bool:
     return bool(re.search(r"[0-9]|\\d", re.sub(r"\{[^}]*\}|p2o5|k2o", "", pattern)))
 
@@ -69,8 +74,8 @@ def normalize_units(text: Column) -> Column:
     wordy = tuple(rule for rule in UNIT_REWRITES if not _needs_digit(rule[0]))
 
     def rewritten(plain: Column) -> Column:
-        without_digit = F.when(plain.rlike(r"(?iu)spp|[lgtokpn5][^\p{L}\p{N}_]+ha"), _rewrite(plain, wordy)).otherwise(plain)
-        return F.when(plain.rlike(r"(?U)\d"), _rewrite(plain, UNIT_REWRITES)).otherwise(without_digit)
+        without_digit = F.when(plain.rlike(_WORDY), _rewrite(plain, wordy)).otherwise(plain)
+        return F.when(plain.rlike(r"\p{Nd}"), _rewrite(plain, UNIT_REWRITES)).otherwise(without_digit)
 
     return let(F.translate(F.coalesce(text, F.lit("")), "‑–", "--"), rewritten)
 
@@ -103,7 +108,7 @@ def extract_numbers(text: Column) -> Column:
         joined = F.regexp_replace(normalize_units(plain), r"(?<=(?<![\p{L}\p{N}_])\d{1,3}(?:,\d{3}){0,6}),(?=\d{3}(?:,\d{3})*(?![\p{L}\p{N}_]))", "")
         points = F.regexp_replace(joined, r"(?U)\b(\d+),(\d+)\b", "$1.$2")
         numbers = F.array_distinct(F.transform(F.regexp_extract_all(points, F.lit(r"(?U)\d+(?:\.\d+)?"), F.lit(0)), canonical_number))
-        return F.when(plain.rlike(r"(?U)\d"), numbers).otherwise(F.array().cast("array<string>"))
+        return F.when(plain.rlike(r"\p{Nd}"), numbers).otherwise(F.array().cast("array<string>"))
 
     return let(F.coalesce(text, F.lit("")), found)
 

@@ -34,6 +34,11 @@ UNITS = {
     "dig to m 2.5": "dig to m 2.5",
     "3 m 2": "3 m²",
     "5-000": "5000",
+    "two kg ha": "two kg/ha",
+    "t\u00a0HA": "t/ha",
+    "some kg K2O ha": "some kg K2O/ha",
+    "thing ha": "thing ha",
+    "ml\nhalf": "ml\nhalf",
     "": "",
 }
 
