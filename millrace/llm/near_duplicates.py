@@ -4,13 +4,12 @@ Words are runs of non-blank characters, lower-cased; a text of one to four words
 word sequences are one class with a weight; only classes are compared.
 
 Forest. A signature has `TREES` * `DEPTH` minima; tree t is the prefix trie of its slices of DEPTH minima. Classes that
-share the first d minima of a slice meet in one bucket. The join starts at full depth. After each round the recall is
-estimated from the verified links: a link of similarity s is found at depth d with chance 1 - (1 - s**d)**TREES, so the
-links found, each divided by its chance, estimate all links. While the estimate is below the target, the matched prefixes
-are shortened by one and only buckets that grew are visited again, for pairs that didn't meet before.
+share the first d minima of a slice meet in one bucket, and a link of similarity s is found with chance
+1 - (1 - s**d)**TREES. The depth is the largest at which the links at the threshold, the least likely ones, are found with
+the chance `recall`; it depends on no data, so that links don't depend on other rows.
 
 Verification. Every bucket's members bring their shingle sets; all pairs in it that meet here for the first time (in no
-earlier tree, and in no deeper round) are compared exactly by counting common shingles. A member's links are summed and
+earlier tree) are compared exactly by counting common shingles. A member's links are summed and
 its root in the bucket returned, so that no pair becomes a row. A bucket of more than `MEMBERS` is cut into parts, and
 each two parts are one task. Buckets with the same members as one of an earlier tree are dropped.
 
@@ -132,14 +131,16 @@ def chance(s: float | np.ndarray, depth: int, trees: int):
     return 1 - (1 - np.asarray(s, float) ** depth) ** trees
 
 
-def buckets(classes: DataFrame, depth: int, first: bool, trees: int) -> DataFrame:
-    """(class, tree, key, n) for the members of buckets to be visited at a depth."""
-    slot = lambda d: F.xxhash64("tree", F.expr(f"substring(signature, tree * {4 * DEPTH} + 1, {4 * d})"))
+def depth_of(threshold: float, recall: float, least_depth: int, trees: int) -> int:
+    """The largest depth where a pair at the threshold meets with the chance recall; least_depth where there is none."""
+    return next((d for d in range(DEPTH, least_depth, -1) if chance(threshold, d, trees) >= recall), least_depth)
+
+
+def buckets(classes: DataFrame, depth: int, trees: int) -> DataFrame:
+    """(class, tree, key, n) for the members of the buckets of a depth."""
     placed = classes.select("class", "signature", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    keyed = placed.select("class", "tree", slot(depth).alias("key"), (F.lit(0).cast("long") if first else slot(depth + 1)).alias("deeper"))
-    found = keyed.groupBy("key", "tree").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("class")).alias("mark"), F.min("deeper").alias("lo"), F.max("deeper").alias("hi")).filter(F.col("n") > 1)
-    if not first:
-        found = found.filter("lo <> hi")  # else all its pairs met in a deeper round
+    keyed = placed.select("class", "tree", F.xxhash64("tree", F.expr(f"substring(signature, tree * {4 * DEPTH} + 1, {4 * depth})")).alias("key"))
+    found = keyed.groupBy("key", "tree").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("class")).alias("mark")).filter(F.col("n") > 1)
     once = found.groupBy("n", "mark").agg(F.min(F.struct("tree", "key")).alias("b")).select("n", F.col("b.tree").alias("b_tree"), F.col("b.key").alias("b_key"))
     return keyed.join(once, (F.col("key") == F.col("b_key")) & (F.col("tree") == F.col("b_tree"))).select("class", "tree", "key", "n")
 
@@ -164,8 +165,8 @@ def common_counts(sets: list[np.ndarray]) -> np.ndarray:
     return counts.astype(np.int64)
 
 
-def compare(sets: list[np.ndarray], minima: np.ndarray, part: np.ndarray, tree: int, depth: int, first: bool, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """The verified pairs (i, j) of one task that meet here for the first time, and their similarities."""
+def compare(sets: list[np.ndarray], minima: np.ndarray, part: np.ndarray, tree: int, depth: int, threshold: float) -> np.ndarray:
+    """The verified pairs (i, j) of one task that meet here for the first time."""
     sizes = np.array([len(s) for s in sets])
     common = common_counts(sets)
     either = sizes[:, None] + sizes[None, :] - common
@@ -174,18 +175,13 @@ def compare(sets: list[np.ndarray], minima: np.ndarray, part: np.ndarray, tree:
         near &= part[:, None] != part[None, :]
     i, j = np.nonzero(near)
     met = np.zeros(len(i), bool)
-    for t in range(minima.shape[1]):
-        agree = (minima[i, t, :depth] == minima[j, t, :depth]).all(1)
-        if t < tree:
-            met |= agree
-        if not first:
-            met |= agree & (minima[i, t, depth] == minima[j, t, depth])
-    i, j = i[~met], j[~met]
-    return np.stack([i, j], 1), common[i, j] / either[i, j]
-
-
-def verify(members: DataFrame, sets: DataFrame, depth: int, first: bool, threshold: float, trees: int) -> DataFrame:
-    """(class, root, links, found, expected): per task and class with links; expected by depth from DEPTH down to 1."""
+    for t in range(tree):
+        met |= (minima[i, t, :depth] == minima[j, t, :depth]).all(1)
+    return np.stack([i[~met], j[~met]], 1)
+
+
+def verify(members: DataFrame, sets: DataFrame, depth: int, threshold: float, trees: int) -> DataFrame:
+    """(class, root, links): per task and class with links."""
     parts = F.ceil(F.col("n") / MEMBERS).cast("int")
     cut = members.withColumn("parts", parts).withColumn("part", F.pmod(F.xxhash64("class"), F.col("parts")).cast("int"))
     spread = cut.select("class", "tree", "key", "part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
@@ -197,13 +193,11 @@ def verify(members: DataFrame, sets: DataFrame, depth: int, first: bool, thresho
         n = len(rows)
         held = [np.frombuffer(r[6], np.uint64) for r in rows]
         minima = np.stack([np.frombuffer(r[5], np.uint32) for r in rows]).reshape(n, trees, DEPTH)
-        pairs, similar = compare(held, minima, np.array([r[3] for r in rows]), rows[0][2], depth, first, threshold)
+        pairs = compare(held, minima, np.array([r[3] for r in rows]), rows[0][2], depth, threshold)
         if not len(pairs):
             return []
         copies = np.array([r[4] for r in rows])
         links = np.bincount(pairs[:, 0], copies[pairs[:, 1]], n) + np.bincount(pairs[:, 1], copies[pairs[:, 0]], n)
-        found = np.bincount(pairs[:, 0], minlength=n)
-        expected = np.stack([np.bincount(pairs[:, 0], 1 / chance(similar, d, trees), n) for d in range(DEPTH, 0, -1)], 1)
         root = np.arange(n)
         while True:  # smallest place over the links, until nothing changes
             before = root.copy()
@@ -212,14 +206,14 @@ def verify(members: DataFrame, sets: DataFrame, depth: int, first: bool, thresho
             root = root[root]
             if (root == before).all():
                 break
-        return [(rows[k][1], rows[root[k]][1], int(links[k]), int(found[k]), expected[k].tolist()) for k in np.flatnonzero(links)]
+        return [(rows[k][1], rows[root[k]][1], int(links[k])) for k in np.flatnonzero(links)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.binary(), pa.binary(), pa.int64(), pa.int64(), pa.list_(pa.float64())]
+        types = [pa.binary(), pa.binary(), pa.int64()]
         held: list[tuple] = []
 
         def done(out: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 5, types)], names=["class", "root", "links", "found", "expected"])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 3, types)], names=["class", "root", "links"])
 
         for batch in batches:
             out: list[tuple] = []
@@ -233,7 +227,7 @@ def verify(members: DataFrame, sets: DataFrame, depth: int, first: bool, thresho
         yield done(judged(held) if len(held) > 1 else [])
         release_memory()
 
-    return dealt.mapInArrow(run, "class binary, root binary, links long, found long, expected array<double>")
+    return dealt.mapInArrow(run, "class binary, root binary, links long")
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -260,25 +254,11 @@ def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", t
     one = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("one")
     classes = sketches.filter("class is not null").groupBy("class").agg(F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature"), one)
     classes = materialize(classes.select("class", "copies", "signature", F.col("one.id").alias("w_id"), F.col("one.digest").alias("w_digest")), "classes")
-    results: list[DataFrame] = []
-    sets: DataFrame | None = None
-    for depth in range(DEPTH, least_depth - 1, -1):
-        first = depth == DEPTH
-        members = materialize(buckets(classes, depth, first, trees), "buckets")
-        wanted = members.select("class").distinct()
-        if sets is not None:
-            wanted = wanted.join(sets.select("class"), "class", "left_anti")
-        chosen = classes.join(wanted, "class", "left_semi")
-        more = materialize(shingle_sets(docs, chosen, id_col, text_col).join(classes.select("class", "copies", "signature"), "class"), "shingles")
-        sets = more if sets is None else sets.unionByName(more)
-        results.append(materialize(verify(members, sets, depth, first, threshold, trees), "links"))
-        everything = results[0]
-        for r in results[1:]:
-            everything = everything.unionByName(r)
-        found, expected = everything.agg(F.sum("found"), F.sum(F.col("expected")[DEPTH - depth])).first()
-        # without a link the least chance of one has to do
-        if found >= recall * expected if found else chance(threshold, depth, trees) >= recall:
-            break
+    depth = depth_of(threshold, recall, least_depth, trees)
+    members = materialize(buckets(classes, depth, trees), "buckets")
+    chosen = classes.join(members.select("class").distinct(), "class", "left_semi")
+    sets = materialize(shingle_sets(docs, chosen, id_col, text_col).join(classes.select("class", "copies", "signature"), "class"), "shingles")
+    everything = materialize(verify(members, sets, depth, threshold, trees), "links")
     labels = components(everything.select(F.col("class").alias("a"), F.col("root").alias("b")))
     linked = everything.groupBy("class").agg(F.sum("links").alias("links"))
     by_class = classes.select("class", "copies").join(linked, "class", "left").join(labels.withColumnRenamed("node", "class"), "class", "left")

@@ -79,6 +79,29 @@ def test_prefixes_are_shortened(spark):
     assert one < want and all_ >= 0.98 * want
 
 
+def test_links_do_not_depend_on_other_rows(spark):
+    """Pairs near the threshold, with and without a large group of nearer copies."""
+    draw = random.Random(11)
+    pairs = []
+    for k in range(800):  # three words of 139 differ: 120 common shingles of 150
+        words = draw.choices(VOCABULARY, k=139)
+        pairs += [" ".join(words), " ".join(f"x{k}" if at in (30, 60, 90) else w for at, w in enumerate(words))]
+    base = draw.choices(VOCABULARY, k=200)
+    hot = [" ".join([*base[:k], "y", *base[k + 1 :]]) for k in range(200)]
+    found = []
+    for texts in (pairs, pairs + hot):
+        df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        found.append([tuple(r) for r in near_duplicates.jaccard_join(df).filter(f"doc_id < {len(pairs)}").orderBy("doc_id").collect()])
+    assert found[0] == found[1]
+
+
+@pytest.mark.parametrize("trees", [16, 40])
+def test_depth_finds_the_least_similar(trees):
+    depth = near_duplicates.depth_of(0.8, 0.999, 1, trees)
+    assert near_duplicates.chance(0.8, depth, trees) >= 0.999
+    assert depth == near_duplicates.DEPTH or near_duplicates.chance(0.8, depth + 1, trees) < 0.999
+
+
 def test_documents(spark, documents, plain_documents):
     found = [tuple(r) for r in near_duplicates.jaccard_join(documents).orderBy("doc_id").collect()]
     assert found == brute([(i, t) for i, t, _ in plain_documents])
