@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
+import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -27,6 +30,24 @@ def get_spark(app: str = "millrace", cores: int | None = None, **conf: str) -> S
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, whatever folder they start in; once an application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    # executors may ask for the file at any time, so that it stays until the driver ends
+    folder = tempfile.mkdtemp(prefix="millrace-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    copy = os.path.join(folder, "package", os.path.basename(root))
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns("__pycache__"))
+    context.addPyFile(shutil.make_archive(os.path.join(folder, f"{os.path.basename(root)}-{context.applicationId}"), "zip", os.path.dirname(copy)))
+    _shipped.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the Parquet tables of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
