@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import ctypes
+import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -12,36 +14,67 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from millrace.session import ship
+
 #: A word: a run of characters that are neither the blank nor one of tab, newline, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 500
+_lock = threading.Lock()
+_holders: dict[int, tuple[int, str]] = {}
+_local: dict[str, str] = {}
+_kept: set[str] = set()
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir, or an own one where that is unset."""
-    conf = spark.sparkContext.getConf()
-    folder = conf.get("spark.checkpoint.dir", None) or spark.conf.get("millrace.work.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("millrace.work.dir", folder)
-    return folder.rstrip("/")
+    """The folder that the driver and all executors share: spark.checkpoint.dir. Where that is unset, a local master gets
+    a temporary folder; elsewhere it is an error, since every executor would write to a disk of its own."""
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if context.applicationId not in _local:
+        _local[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="millrace-")
+    return _local[context.applicationId]
+
+
+def work_dir(spark: SparkSession) -> str:
+    """The application's own folder below the shared one; it goes when the driver's JVM ends."""
+    folder = f"{shared_dir(spark)}/millrace-{spark.sparkContext.applicationId}"
+    if folder not in _kept:
+        ship(spark)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _kept.add(folder)
+    return folder
 
 
 def work_path(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder."""
-    return f"{shared_dir(spark)}/millrace/{name}-{uuid.uuid4().hex[:12]}"
+    """A new path below the application's folder."""
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 @contextmanager
 def small_batches(spark: SparkSession) -> Iterator[None]:
-    """While this holds, jobs pass texts to Python in batches of BATCH_ROWS rows, so that long texts need little memory."""
+    """While this holds, jobs pass texts to Python in batches of BATCH_ROWS rows, so that long texts need little memory.
+    Of threads that share a session the first sets it and the last sets it back."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
+    with _lock:
+        users, before = _holders.get(id(spark), (0, spark.conf.get(key)))
+        _holders[id(spark)] = (users + 1, before)
+        spark.conf.set(key, str(min(BATCH_ROWS, int(before)) if int(before) > 0 else BATCH_ROWS))
     try:
         yield
     finally:
-        spark.conf.set(key, before)
+        with _lock:
+            users, before = _holders.pop(id(spark))
+            if users > 1:
+                _holders[id(spark)] = (users - 1, before)
+            else:
+                spark.conf.set(key, before)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:
@@ -52,6 +85,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """Names like the given ones that no column of df has."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def without(docs: DataFrame, gone: DataFrame, id_col: str, text_col: str, limit: int) -> DataFrame:
+    """The rows of docs that agree in id and text digest with no row of gone (id, digest), with their own columns."""
+    key, digest = spare(docs, "gone_id", "gone_digest")
+    named = gone.select(F.col("id").alias(key), F.col("digest").alias(digest)).distinct()
+    on = docs[id_col].eqNullSafe(F.col(key)) & (F.xxhash64(docs[text_col]) == F.col(digest))
+    return docs.join(broadcast_if(named, named.count(), limit), on, "left_anti")
+
+
 def text_of(name: str) -> Column:
     """The column's text; null counts as empty."""
     return F.coalesce(F.col(name), F.lit(""))

@@ -3,10 +3,12 @@
 Words are runs of non-blank characters, lower-cased; a text of one to four words is one shingle. Documents with equal
 word sequences are one class with a weight; only classes are compared.
 
-Forest. A signature has `TREES` * `DEPTH` minima; tree t is the prefix trie of its slices of DEPTH minima. Classes that
-share the first d minima of a slice meet in one bucket, and a link of similarity s is found with chance
-1 - (1 - s**d)**TREES. The depth is the largest at which the links at the threshold, the least likely ones, are found with
-the chance `recall`; it depends on no data, so that links don't depend on other rows.
+Forest. A signature has `TREES` * `DEPTH` minima; tree t holds the slices of DEPTH minima of all classes in sorted order,
+which is the prefix trie of them: a node at depth d is a run of slices with one prefix of length d. Classes of one node
+meet, and a link of similarity s is found with chance 1 - (1 - s**d)**TREES. Matched prefixes are shortened from DEPTH on
+until the links at the threshold, the least likely ones, are found with the chance `recall`; that depends on no data, so
+that links don't depend on other rows. The tries are dealt by ranges of (tree, slice, class), so that a node of any size
+spreads over tasks; a task walks its range once and drops the slices that are alone.
 
 Verification. Every bucket's members bring their shingle sets; all pairs in it that meet here for the first time (in no
 earlier tree) are compared exactly by counting common shingles. A member's links are summed and
@@ -16,7 +18,8 @@ each two parts are one task. Buckets with the same members as one of an earlier
 Classes, links and components stay distributed. Shingles are compared as 64-bit hashes.
 
 Edge cases: null texts and texts without words have no links and a class of their own; null ids count as the largest;
-repeated rows are copies; an empty table gives an empty result. Texts are compared whole.
+repeated rows are copies; an empty table gives an empty result; columns of any name pass through. Texts are compared
+whole. Parameters with which no depth reaches the recall are an error.
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import broadcast_if, materialize, release_memory, text_of
+from millrace.llm.common import broadcast_if, materialize, release_memory, text_of, without
 from millrace.llm.graph import components
 
 WORDS, TREES, DEPTH = 5, 16, 6
@@ -131,17 +134,59 @@ def chance(s: float | np.ndarray, depth: int, trees: int):
     return 1 - (1 - np.asarray(s, float) ** depth) ** trees
 
 
-def depth_of(threshold: float, recall: float, least_depth: int, trees: int) -> int:
-    """The largest depth where a pair at the threshold meets with the chance recall; least_depth where there is none."""
-    return next((d for d in range(DEPTH, least_depth, -1) if chance(threshold, d, trees) >= recall), least_depth)
+def depth_of(threshold: float, recall: float, trees: int) -> int:
+    """The largest depth where a pair at the threshold meets with the chance recall."""
+    for depth in range(DEPTH, 0, -1):
+        if chance(threshold, depth, trees) >= recall:
+            return depth
+    raise ValueError(f"{trees} trees find links of similarity {threshold} with chance {chance(threshold, 1, trees):.4f} at most")
+
+
+def trie_runs(classes: DataFrame, depth: int, trees: int) -> DataFrame:
+    """(class, tree, prefix) of the classes that share a prefix of some depth in the sorted tries, and of those at the
+    ends of a task's range, whose neighbours are in another task."""
+    slices = classes.select("class", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "signature")
+    slices = slices.select("class", "tree", F.expr(f"substring(signature, tree * {4 * DEPTH} + 1, {4 * DEPTH})").alias("slice"))
+    count = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tries = slices.repartitionByRange(count, "tree", "slice", "class").sortWithinPartitions("tree", "slice", "class")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = pa.schema([("class", pa.binary()), ("tree", pa.int32()), ("prefix", pa.binary())])
+        held: pa.Table | None = None  # the last row, whose successor is not known yet
+        held_met = True  # whether it is to be kept anyway: it met the row before it, or is the first
+
+        def nodes(table: pa.Table) -> np.ndarray:
+            names = table.column("prefix").combine_chunks()
+            names = names.cast(pa.binary(4 * depth))
+            data = np.frombuffer(names.buffers()[1], np.uint32)[names.offset * depth : (names.offset + len(names)) * depth].reshape(-1, depth)
+            return np.concatenate([table.column("tree").to_numpy().astype(np.uint32)[:, None], data], 1)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            prefixes = pa.array([x[: 4 * depth] for x in batch.column("slice").to_pylist()], pa.binary())
+            table = pa.table([batch.column("class"), batch.column("tree"), prefixes], schema=kind)
+            table = table if held is None else pa.concat_tables([held, table]).combine_chunks()
+            own = nodes(table)
+            same = (own[1:] == own[:-1]).all(1)
+            met = np.zeros(len(own), bool)
+            met[1:] |= same
+            met[:-1] |= same
+            met[0] |= held_met
+            held, held_met = table.slice(len(own) - 1), bool(met[-1])
+            yield from table.slice(0, len(own) - 1).filter(pa.array(met[:-1])).to_batches()
+        if held is not None:
+            yield from held.to_batches()
+
+    return tries.mapInArrow(walk, "class binary, tree int, prefix binary")
 
 
 def buckets(classes: DataFrame, depth: int, trees: int) -> DataFrame:
-    """(class, tree, key, n) for the members of the buckets of a depth."""
-    placed = classes.select("class", "signature", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"))
-    keyed = placed.select("class", "tree", F.xxhash64("tree", F.expr(f"substring(signature, tree * {4 * DEPTH} + 1, {4 * depth})")).alias("key"))
-    found = keyed.groupBy("key", "tree").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("class")).alias("mark")).filter(F.col("n") > 1)
-    once = found.groupBy("n", "mark").agg(F.min(F.struct("tree", "key")).alias("b")).select("n", F.col("b.tree").alias("b_tree"), F.col("b.key").alias("b_key"))
+    """(class, tree, key, n) for the members of the nodes of a depth that have two or more. Of nodes with the same
+    members, told by two 64-bit sums, one is taken."""
+    keyed = materialize(trie_runs(classes, depth, trees).select("class", "tree", F.xxhash64("tree", "prefix").alias("key")), "tries")
+    found = keyed.groupBy("key", "tree").agg(F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("class")).alias("mark"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("mark_2")).filter(F.col("n") > 1)
+    once = found.groupBy("n", "mark", "mark_2").agg(F.min(F.struct("tree", "key")).alias("b")).select("n", F.col("b.tree").alias("b_tree"), F.col("b.key").alias("b_key"))
     return keyed.join(once, (F.col("key") == F.col("b_key")) & (F.col("tree") == F.col("b_tree"))).select("class", "tree", "key", "n")
 
 
@@ -247,14 +292,14 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str)
     return texts.mapInArrow(rows, "class binary, shingles binary").dropDuplicates(["class"])
 
 
-def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, recall: float = 0.999, least_depth: int = 3, trees: int = TREES) -> DataFrame:
+def groups(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8, recall: float = 0.999, trees: int = TREES) -> DataFrame:
     """A row per document: id, digest (of the text), class_id, n_links, and first (whether it stands for its group: the
     smallest id, of one id the smallest digest)."""
     sketches = materialize(sketch(docs, id_col, text_col, trees), "sketches")
     one = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "digest")).alias("one")
     classes = sketches.filter("class is not null").groupBy("class").agg(F.count(F.lit(1)).alias("copies"), F.first("signature").alias("signature"), one)
     classes = materialize(classes.select("class", "copies", "signature", F.col("one.id").alias("w_id"), F.col("one.digest").alias("w_digest")), "classes")
-    depth = depth_of(threshold, recall, least_depth, trees)
+    depth = depth_of(threshold, recall, trees)
     members = materialize(buckets(classes, depth, trees), "buckets")
     chosen = classes.join(members.select("class").distinct(), "class", "left_semi")
     sets = materialize(shingle_sets(docs, chosen, id_col, text_col).join(classes.select("class", "copies", "signature"), "class"), "shingles")
@@ -279,8 +324,6 @@ def jaccard_join(docs: DataFrame, **options) -> DataFrame:
 def one_of_each(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents that stand for their groups, with their own columns; of repeated rows one."""
     found = materialize(groups(docs, id_col=id_col, text_col=text_col, **options), "groups")
-    dropped = found.filter("not first").select(F.col("id").alias("__id"), F.col("digest").alias("__digest")).distinct()
-    on = docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__digest"))
-    left = docs.join(broadcast_if(dropped, dropped.count(), 1_000_000), on, "left_anti")
+    left = without(docs, found.filter("not first"), id_col, text_col, 1_000_000)
     repeated = found.filter("first").groupBy("id", "digest").count().filter("count > 1").limit(1).count()
     return left.dropDuplicates([id_col, text_col]) if repeated else left

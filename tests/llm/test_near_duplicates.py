@@ -1,6 +1,7 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from millrace.llm import graph, near_duplicates
@@ -75,8 +76,30 @@ def test_prefixes_are_shortened(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string")
     want = sum(n for _, _, n in brute(rows))
     one = sum(r.n_links for r in near_duplicates.jaccard_join(df, recall=0.0, trees=3).collect())
-    all_ = sum(r.n_links for r in near_duplicates.jaccard_join(df, least_depth=1, trees=3).collect())
+    all_ = sum(r.n_links for r in near_duplicates.jaccard_join(df, recall=0.99, trees=3).collect())
     assert one < want and all_ >= 0.98 * want
+    with pytest.raises(ValueError):
+        near_duplicates.jaccard_join(df, recall=0.9999, trees=3)
+
+
+@pytest.mark.parametrize("parts", [1, 7, 60])
+def test_tries_lose_no_neighbours(spark, parts):
+    """Whatever the ranges and batches, classes with a common prefix come out of the tries."""
+    draw, trees, depth = random.Random(5), 2, 2
+    minima = [tuple(tuple(draw.randrange(3) for _ in range(near_duplicates.DEPTH)) for _ in range(trees)) for _ in range(80)]
+    rows = [(bytes([k]) * 16, np.array(m, np.uint32).tobytes()) for k, m in enumerate(minima)]
+    df = spark.createDataFrame(rows, "class binary, signature binary")
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.execution.arrow.maxRecordsPerBatch")}
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        found = {(r["class"][0], r.tree) for r in near_duplicates.trie_runs(df, depth, trees).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    nodes = Counter((t, m[t][:depth]) for m in minima for t in range(trees))
+    want = {(k, t) for k, m in enumerate(minima) for t in range(trees) if nodes[t, m[t][:depth]] > 1}
+    assert want <= found and len(found - want) <= 2 * parts
 
 
 def test_links_do_not_depend_on_other_rows(spark):
@@ -97,7 +120,7 @@ def test_links_do_not_depend_on_other_rows(spark):
 
 @pytest.mark.parametrize("trees", [16, 40])
 def test_depth_finds_the_least_similar(trees):
-    depth = near_duplicates.depth_of(0.8, 0.999, 1, trees)
+    depth = near_duplicates.depth_of(0.8, 0.999, trees)
     assert near_duplicates.chance(0.8, depth, trees) >= 0.999
     assert depth == near_duplicates.DEPTH or near_duplicates.chance(0.8, depth + 1, trees) < 0.999
 
