@@ -7,12 +7,16 @@ document and item on one diagonal (the shift between their positions) are one ca
 diagonal: some `overlap` aligned tokens in a row (all of an item that is shorter) must agree in at least `identity` of
 their places.
 
+The masks hit every overlap: whichever tokens the identity lets differ, some mask's window has none of them under its ones
+(for overlap 13 and identity 0.75, and for whole items of 7 to 12 tokens). Items of under 7 tokens are too short for
+substitutions: they must occur whole, and their seed is their whole token list.
+
 The hashed benchmark windows are broadcast if they are counted to be at most `broadcast_rows`; beyond that the join
 shuffles both sides. Documents are read again for verification only where they have hits.
 
-Edge cases: null and empty texts, and items shorter than the shortest mask, match nothing; documents that agree in id
-and text share one decision and each keep a row; an empty table on either side gives no contaminated document. Texts are
-searched whole.
+Edge cases: null and empty texts, and items without a token, match nothing; documents that agree in id and text share one
+decision and each keep a row; columns of any name pass through; an empty table on either side gives no contaminated
+document. Texts are searched whole.
 """
 
 from __future__ import annotations
@@ -20,10 +24,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import broadcast_if, materialize, text_of
+from millrace.llm.common import broadcast_if, materialize, text_of, without
 
-#: Masks of weight six; zeros at different places, so that one or more survive a substitution in every few tokens.
-MASKS = ("1110111", "1111011", "110110011", "11010001011")
+#: Masks of weight five that together survive any substitutions that the defaults allow.
+MASKS = ("111011", "11001011", "11111", "101111", "11110001", "10100111", "11010101")
+#: Items of fewer tokens are matched whole.
+SHORT = 7
 SEPARATORS = r"[^\p{L}\p{N}]+"
 
 
@@ -37,7 +43,7 @@ def windows(rows: DataFrame, keys: list[str], masks: tuple[str, ...]) -> DataFra
     shortest = min(map(len, masks))
     places = F.when(F.size("h") >= shortest, F.sequence(F.lit(0), F.size("h") - shortest)).otherwise(F.array().cast("array<int>"))
     at = rows.select(*keys, "h", F.explode(places).alias("at"))
-    hashed = [F.when(F.col("at") + len(m) <= F.size("h"), F.xxhash64(F.lit(n), *[F.get("h", F.col("at") + o) for o, c in enumerate(m) if c == "1"])) for n, m in enumerate(masks)]
+    hashed = [F.when(F.col("at") + len(m) <= F.size("h"), F.xxhash64(F.lit(m), *[F.get("h", F.col("at") + o) for o, c in enumerate(m) if c == "1"])) for m in masks]
     return at.select(*keys, "at", F.explode(F.array(*hashed)).alias("key")).filter("key is not null")
 
 
@@ -45,9 +51,14 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
     """Verified overlaps, materialised: id, digest (of the text), item_id, shift, matched (agreeing tokens), length."""
     items = benchmark.select(F.col(item_col).alias("item_id"), F.filter(F.split(F.lower(text_of(item_text_col)), SEPARATORS), lambda t: t != "").alias("t"))
     items = materialize(items.select("item_id", F.transform("t", lambda t: F.xxhash64(t)).alias("h")), "benchmark-tokens")
-    seeds = materialize(windows(items, ["item_id"], masks).distinct(), "benchmark-seeds").select(F.col("key").alias("seed"), "item_id", F.col("at").alias("item_at"))
+    # at most SHORT - 1 lengths
+    short = sorted(r[0] for r in items.select(F.size("h").alias("n")).filter(f"n between 1 and {SHORT - 1}").distinct().collect())
+    seeds = windows(items.filter(F.size("h") >= SHORT), ["item_id"], masks)
+    for n in short:
+        seeds = seeds.unionByName(windows(items.filter(F.size("h") == n), ["item_id"], ("1" * n,)))
+    seeds = materialize(seeds.distinct(), "benchmark-seeds").select(F.col("key").alias("seed"), "item_id", F.col("at").alias("item_at"))
     own = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("digest"), text_of(text_col).alias("text"))
-    spread = windows(own.select("id", "digest", tokens(F.col("text")).alias("h")), ["id", "digest"], masks)
+    spread = windows(own.select("id", "digest", tokens(F.col("text")).alias("h")), ["id", "digest"], (*masks, *["1" * n for n in short if "1" * n not in masks]))
     hits = spread.join(broadcast_if(seeds, seeds.count(), broadcast_rows), F.col("key") == F.col("seed"))
     candidates = materialize(hits.select("id", "digest", "item_id", (F.col("at") - F.col("item_at")).alias("shift")).distinct(), "benchmark-hits")
 
@@ -65,7 +76,8 @@ def find_overlaps(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_i
                 array_max(transform(sequence(0, size(e) - least({overlap}, size(e))), s -> aggregate(slice(e, s + 1, least({overlap}, size(e))), 0, (a, x) -> a + x)))))))"""
     )
     verified = compared.select("id", "digest", "item_id", F.explode(best).alias("b")).select("id", "digest", "item_id", "b.shift", "b.matched", "b.length")
-    return materialize(verified.filter(F.col("matched") >= F.lit(identity) * F.col("length")).distinct(), "benchmark-overlaps")
+    needed = F.when(F.col("length") < SHORT, F.col("length")).otherwise(F.lit(identity) * F.col("length"))
+    return materialize(verified.filter(F.col("matched") >= needed).distinct(), "benchmark-overlaps")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -80,6 +92,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id
 def decontaminated(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 2_000_000, **options) -> DataFrame:
     """The documents that overlap no item, with their own columns."""
     found = find_overlaps(docs, benchmark, id_col=id_col, text_col=text_col, broadcast_rows=broadcast_rows, **options)
-    keys = found.select(F.col("id").alias("__id"), F.col("digest").alias("__digest")).distinct()
-    on = docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__digest"))
-    return docs.join(broadcast_if(keys, keys.count(), broadcast_rows), on, "left_anti")
+    return without(docs, found.select("id", "digest"), id_col, text_col, broadcast_rows)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from millrace.llm.decontaminate import MASKS
-
 _PLAIN = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 WARC = """
@@ -31,8 +29,7 @@ rep AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([k, k
 raw AS (SELECT doc_id, source, text, unnest(string_split(text, chr(10))) AS line FROM w),
 ln AS (SELECT *, lower(array_to_string(list_filter(string_split_regex(line, '[\x20\x09-\x0D]+'), lambda x: x <> ''), ' ')) AS plain FROM raw WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 dup AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM ln GROUP BY doc_id),
-host AS (SELECT source, greatest(20.0, count(DISTINCT text) * 0.002) AS most FROM w GROUP BY source),
-freq AS (SELECT ln.source, plain FROM ln JOIN host ON ln.source = host.source GROUP BY ln.source, plain, most HAVING count(DISTINCT text) > most),
+freq AS (SELECT source, plain FROM ln GROUP BY source, plain HAVING count(DISTINCT text) > 20),
 gone AS (SELECT doc_id, sum(len(string_split(ln.plain, ' '))) AS n FROM ln JOIN freq ON ln.source = freq.source AND ln.plain = freq.plain GROUP BY doc_id),
 m AS (SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
  CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(gone.n, 0) AS BIGINT) AS removed_words
@@ -41,23 +38,13 @@ SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, NO
 """
 
 
-def _seeded() -> str:
-    """Whether some mask's window agrees: every kept place of it matches, inside the item."""
-    tests = []
-    for mask in MASKS:
-        kept = ", ".join(f"x + {o}" for o, c in enumerate(mask) if c == "1")
-        tests.append(f"len(list_filter(js, lambda x: list_has_all(js, [{kept}]) AND x + {len(mask)} <= n)) > 0")
-    return " OR ".join(tests)
-
-
 OVERLAPS = rf"""
 WITH d AS (SELECT doc_id, string_split_regex(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+') AS t FROM documents),
 dt AS (SELECT doc_id, unnest(t) AS tok, generate_subscripts(t, 1) - 1 AS i FROM d),
 b AS (SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS t FROM benchmark),
 bt AS (SELECT item_id, len(t) AS n, unnest(t) AS tok, generate_subscripts(t, 1) - 1 AS j FROM b),
-m AS (SELECT doc_id, item_id, i - j AS shift, n, list(j) AS js FROM dt JOIN bt ON dt.tok = bt.tok GROUP BY doc_id, item_id, i - j, n HAVING count(*) >= 6),
-v AS (SELECT DISTINCT doc_id, item_id FROM m WHERE ({_seeded()})
- AND len(list_filter(range(0, n - least(13, n) + 1), lambda s: len(list_filter(js, lambda y: y >= s AND y < s + least(13, n))) >= 0.75 * least(13, n))) > 0)
+m AS (SELECT doc_id, item_id, i - j AS shift, n, list(j) AS js FROM dt JOIN bt ON dt.tok = bt.tok GROUP BY doc_id, item_id, i - j, n HAVING count(*) >= least(6, n)),
+v AS (SELECT DISTINCT doc_id, item_id FROM m WHERE len(list_filter(range(0, n - least(13, n) + 1), lambda s: len(list_filter(js, lambda y: y >= s AND y < s + least(13, n))) >= CASE WHEN n < 7 THEN n ELSE 0.75 * least(13, n) END)) > 0)
 SELECT d.doc_id, count(v.item_id) > 0 AS contaminated, coalesce(string_agg(v.item_id, ',' ORDER BY v.item_id), '') AS items FROM d LEFT JOIN v ON d.doc_id = v.doc_id GROUP BY d.doc_id
 """
 

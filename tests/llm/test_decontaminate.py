@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -51,6 +52,32 @@ def test_planted(spark, broadcast_rows):
     assert kept.columns == df.columns and {r.doc_id for r in kept.collect()} == {i for i, _, item in rows if item is None}
 
 
+def allowed(n):
+    """Every way to substitute as many of n aligned tokens as the identity allows."""
+    need = next(k for k in range(n + 1) if k >= 0.75 * n)
+    return itertools.combinations(range(n), n - need)
+
+
+@pytest.mark.parametrize("n", range(7, 14))
+def test_masks_hit_every_overlap(n):
+    for gone in allowed(n):
+        assert any(all(at + o not in gone for o, c in enumerate(m) if c == "1") for m in decontaminate.MASKS for at in range(n - len(m) + 1)), gone
+
+
+def test_substitutions_and_short_items(spark):
+    """All substitutions that the identity allows in items of 7 to 13 tokens are found; shorter items only whole."""
+    items, rows, want = [], [], set()
+    for n in range(1, 14):
+        words = [f"n{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(words)))
+        for gone in allowed(n) if n >= 7 else [(), (0,), (n - 1,)]:
+            rows.append((len(rows), " ".join(["before", *("zz" if k in gone else w for k, w in enumerate(words)), "after"])))
+            if n >= 7 or not gone:
+                want.add((rows[-1][0], n))
+    found = decontaminate.contaminated(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, i) for r in found.collect() for i in r["items"]} == want
+
+
 def test_documents_against_all_alignments(spark, documents, plain_documents):
     benchmark = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
     items = [(r.item_id, r.text) for r in benchmark.collect()]
