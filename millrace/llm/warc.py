@@ -11,7 +11,8 @@ segment number, checked for gaps and against the total length; then the HTTP mes
 
 Edge cases: null payloads are empty; null urls are empty; null ids are written as such, and count as the largest;
 repeated rows with one id and payload all stay responses with records of their own; a record with a missing segment, a
-wrong total or broken framing has complete = false and a null payload; an empty table gives no records.
+wrong total or broken framing has complete = false and a null payload; other columns, whatever their names, are not
+read; an empty table gives no records.
 """
 
 from __future__ import annotations
@@ -58,8 +59,9 @@ def dechunked(data: bytes) -> bytes | None:
             size = int(data[at:end].split(b";")[0], 16)
         except ValueError:
             return None
-        if size == 0:
-            return b"".join(out)
+        if size == 0:  # trailer fields, if any, and an empty line
+            rest = data[end:]
+            return b"".join(out) if rest == b"\r\n\r\n" or (rest.endswith(b"\r\n\r\n") and not rest.startswith(b"\r\n\r\n")) else None
         at = end + 2 + size
         if size < 0 or data[at : at + 2] != b"\r\n":
             return None
@@ -118,12 +120,37 @@ def write_warc(pages: DataFrame, path: str, *, id_col: str = "page_id", url_col:
         written.write.option("lineSep", "\r\n").option("compression", "gzip").text(path)
 
 
-def parse_record(data: bytes) -> tuple[dict[bytes, bytes], bytes, bool]:
-    """Named fields, block, and whether the block has its stated length, of a record without its version line."""
-    head, _, rest = data.partition(b"\r\n\r\n")
-    fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(b":") for x in head.split(b"\r\n"))}
-    length = int(fields.get(b"content-length", b"0") or b"0")
-    return fields, rest[:length], len(rest) >= length
+class Record:
+    """A record that is read piece by piece: its named fields, its block, and how much of the block is still missing."""
+
+    def __init__(self, data: bytes) -> None:
+        self.head, self.parts = data, []
+        self.fields: dict[bytes, bytes] | None = None
+        self.missing = 1
+        self._open(b"")
+
+    def _open(self, more: bytes) -> None:
+        self.head += more
+        head, end, rest = self.head.partition(b"\r\n\r\n")
+        if end:
+            self.fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(b":") for x in head.split(b"\r\n"))}
+            self.length = int(self.fields.get(b"content-length", b"0") or b"0")
+            self.parts, self.missing = [rest], self.length - len(rest)
+
+    def add(self, piece: bytes) -> None:
+        """More of the record: a piece behind a version line that belongs to its block."""
+        if self.fields is None:
+            self._open(VERSION + piece)
+        else:
+            self.parts += [VERSION, piece]
+            self.missing -= len(VERSION) + len(piece)
+
+    @property
+    def whole(self) -> bool:
+        return self.fields is not None and self.missing <= 0
+
+    def block(self) -> bytes:
+        return b"".join(self.parts)[: self.length]
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -133,7 +160,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in RECORD.split(", ")]
         types = [pa.string(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.string(), pa.binary()]
-        held: bytes | None = None
+        held: Record | None = None
         at_file = None
 
         def row(fields: dict[bytes, bytes], block: bytes | None) -> tuple:
@@ -149,18 +176,20 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
             for piece, file in zip(*(c.to_pylist() for c in batch.columns)):
                 if file != at_file:
                     if held is not None:  # the file before ended inside a block
-                        rows.append(row(parse_record(held)[0], None))
+                        rows.append(row(held.fields or {}, None))
                     held, at_file = None, file
                 if held is None and not piece.strip():
                     continue
-                data = piece if held is None else held + VERSION + piece
-                fields, block, whole = parse_record(data)
-                if whole:
-                    rows.append(row(fields, block))
-                held = None if whole else data
+                if held is None:
+                    held = Record(piece)
+                else:
+                    held.add(piece)
+                if held.whole:
+                    rows.append(row(held.fields, held.block()))
+                    held = None
             yield batch_of(rows)
         if held is not None:
-            yield batch_of([row(parse_record(held)[0], None)])
+            yield batch_of([row(held.fields or {}, None)])
 
     return lines.mapInArrow(parse, RECORD)
 
@@ -168,8 +197,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 def assemble(records: DataFrame) -> DataFrame:
     """Whole records: record_id, type, refers_to, complete, payload (null for revisits), payload_bytes, payload_digest.
 
-    A revisit's length and digest are those that its record states; a response's are of the decoded payload, and must
-    agree with the digest that the record states, if it states one.
+    A response's length and digest are of the decoded payload, and must agree with the digest that the record states, if
+    it states one. A revisit's are those that its record states; resolved() holds them against the response.
     """
     segment = F.struct(F.coalesce("segment", F.lit(1)).alias("segment"), "block")
     plain = records.filter("segment is null and type in ('response', 'revisit')").select("record_id", "type", "refers_to", "digest", F.lit(None).cast("long").alias("total"), F.array(segment).alias("parts"))
@@ -207,6 +236,19 @@ def assemble(records: DataFrame) -> DataFrame:
     return plain.unionByName(grouped).mapInArrow(join, schema)
 
 
+def resolved(whole: DataFrame) -> DataFrame:
+    """assemble()'s rows without payloads, revisits with the length and digest of the response that they refer to. A
+    revisit is complete if that response is there and complete, and both agree with what the revisit states."""
+    found = materialize(whole.drop("payload"), "warc-records")
+    # of repeated rows, whose identifiers end in a number of their own, a revisit names the common part
+    named = found.filter("type = 'response' and complete").groupBy(F.regexp_replace("record_id", r":r\d+>$", ">").alias("refers_to")).agg(F.first("payload_bytes").alias("r_bytes"), F.first("payload_digest").alias("r_digest"))
+    named = materialize(named, "warc-responses")
+    revisits = found.filter("type = 'revisit'").join(named, "refers_to", "left")
+    agrees = F.col("payload_digest").eqNullSafe(F.col("r_digest")) & F.coalesce(F.col("payload_bytes") == F.col("r_bytes"), F.col("payload_bytes").isNull()) & F.col("r_digest").isNotNull()
+    revisits = revisits.select("record_id", "type", "refers_to", (F.col("complete") & agrees).alias("complete"), F.col("r_bytes").alias("payload_bytes"), F.col("r_digest").alias("payload_digest"))
+    return found.filter("type <> 'revisit'").select(*revisits.columns).unionByName(revisits)
+
+
 def page_id(name: str):
     """The page's id inside a record's identifier."""
     return F.regexp_extract(name, _ID.pattern, 1).try_cast("long")
@@ -218,5 +260,5 @@ def round_trip(pages: DataFrame, path: str | None = None, **options) -> DataFram
     spark = pages.sparkSession
     path = path or work_path(spark, "warc")
     write_warc(pages, path, **options)
-    whole = assemble(read_records(spark, path))
+    whole = resolved(assemble(read_records(spark, path)))
     return whole.select(page_id("record_id").alias("page_id"), "payload_bytes", "payload_digest", F.col("type").alias("record_type"), page_id("refers_to").alias("refers_to"), "complete")

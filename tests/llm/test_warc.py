@@ -89,3 +89,26 @@ def test_reassembly(spark, parts, payload):
 def test_chunks(body, size):
     assert warc.dechunked(warc.chunked(body, size)) == body
     assert warc.dechunked(warc.chunked(body, size)[:-6]) is None or not body
+    assert warc.dechunked(warc.chunked(body, size)[:-2]) is None
+    assert warc.dechunked(warc.chunked(body, size)[:-2] + b"Expires: never\r\n\r\n") == body
+
+
+def test_revisits_are_held_against_their_response(spark):
+    """Length and digest of a revisit are the response's; without it, or if they differ, the revisit is not complete."""
+    body = b"abc"
+    digest = hashlib.sha256(body).hexdigest()
+    stated = lambda n: b"HTTP/1.1 200 OK\r\nContent-Length: %d\r\n\r\n" % n
+    rows = [("<r>", "response", None, None, None, None, digest, MESSAGE), ("<a>", "revisit", None, None, None, "<r>", digest, stated(3))]
+    rows += [("<b>", "revisit", None, None, None, "<gone>", digest, stated(3)), ("<c>", "revisit", None, None, None, "<r>", "00", stated(3)), ("<d>", "revisit", None, None, None, "<r>", digest, stated(4))]
+    found = {r.record_id: (r.payload_bytes, r.payload_digest, r.complete) for r in warc.resolved(warc.assemble(spark.createDataFrame(rows, warc.RECORD))).collect()}
+    assert found == {"<r>": (3, digest, True), "<a>": (3, digest, True), "<b>": (None, None, False), "<c>": (3, digest, False), "<d>": (3, digest, False)}
+
+
+def test_records_in_many_pieces():
+    data = b"WARC-Type: response\r\nContent-Length: 40\r\n\r\n" + b"x" * 10 + (warc.VERSION + b"y") * 3 + b"\r\n\r\n"
+    pieces = data.split(warc.VERSION)
+    record = warc.Record(pieces[0])
+    for piece in pieces[1:]:
+        assert not record.whole
+        record.add(piece)
+    assert record.whole and record.block() == (b"x" * 10 + (warc.VERSION + b"y") * 3 + b"\r\n\r\n")[:40]
