@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm import decontaminate, line_rules, mixing, near_duplicates, perplexity, secrets, sequences, suffix_dedup, token_counts, warc
+from millrace.llm.common import work_path
 from millrace.llm.oracles import ORACLES  # noqa: F401
 
 
@@ -36,9 +37,14 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled documents are counted first and fill the cache; then all documents are joined to it, and those that
+    it lacks are added."""
     import public_tokenizers
 
-    return token_counts.count_tokens(_documents(spark, sf_dir), public_tokenizers.path("piece_bpe_32k.model"))
+    docs, cache, model = _documents(spark, sf_dir), work_path(spark, "token-cache"), public_tokenizers.path("piece_bpe_32k.model")
+    labelled = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id").distinct()
+    token_counts.fill_cache(docs.join(labelled, "doc_id", "left_semi"), model, cache)
+    return token_counts.count_tokens(docs, model, cache)
 
 
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,8 @@
 """Token counts through a digest cache.
 
 Key of the cache: SHA-256 of the normalised content and SHA-256 of the tokenizer file. Digests of all documents are
-joined to the stored counts; the texts behind digests that have none are reduced to one text a digest, encoded, and
-appended to the cache; then every document gets its count by a join on the digest. Normalisation turns null into the
+joined to the stored counts; the texts behind digests that have none, one text a digest, are encoded and appended to the
+cache; then every document gets its count by a join on the digest. Normalisation turns null into the
 empty text and nothing else, since any other change of a text can change its count.
 
 The worker encodes through a memo where that is exact: if a sentencepiece BPE model normalises nothing but blanks to
@@ -10,8 +10,8 @@ its blank mark, and no piece holds a line feed or a blank mark after another cha
 place before a blank or around a line feed, so that a text's count is the sum over its blank-separated units. Texts
 with leading, trailing or doubled blanks, blanks beside line feeds, or the blank mark itself are encoded whole.
 
-Edge cases: null and empty texts have 0 tokens; repeated rows share one cache entry and each keep a row; an empty
-table gives an empty result and appends nothing. Long texts are encoded whole, without truncation.
+Edge cases: null and empty texts have 0 tokens; repeated rows share one cache entry and each keep a row; other columns,
+whatever their names, are not read; an empty table gives an empty result and appends nothing. Long texts are encoded whole, without truncation.
 """
 
 from __future__ import annotations
@@ -102,19 +102,23 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return jvm_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jvm_path)
 
 
-def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None = None, *, id_col: str = "doc_id", text_col: str = "text", limit: int = 4096) -> DataFrame:
-    """A row per document: doc_id, n_bytes, n_tokens, over_limit. cache_path: a Parquet folder that grows by the misses."""
+def fill_cache(docs: DataFrame, tokenizer_path: str, cache_path: str, *, id_col: str = "doc_id", text_col: str = "text", broadcast_rows: int = 100_000) -> DataFrame:
+    """Append the counts of the texts that the cache lacks. Returns a row per document: id, content (digest), n_bytes."""
     spark = docs.sparkSession
-    cache_path = cache_path or work_path(spark, "token-cache")
     version = F.unhex(F.lit(tokenizer_version(tokenizer_path)))
     content = F.unhex(F.sha2(text_of(text_col), 256))
     keyed = materialize(docs.select(F.col(id_col).alias("id"), content.alias("content"), F.octet_length(text_of(text_col)).cast("long").alias("n_bytes")), "token-digests")
     texts = docs.select(content.alias("content"), text_of(text_col).alias("text"))
+    missing = keyed.select("content").distinct()
     if _exists(spark, cache_path):
         stored = spark.read.schema(CACHE_SCHEMA).parquet(cache_path).filter(F.col("version") == version)
-        missing = materialize(keyed.select("content").distinct().join(stored.select("content"), "content", "left_anti"), "token-misses")
-        texts = texts.join(missing, "content", "left_semi")
+        missing = missing.join(stored.select("content"), "content", "left_anti")
+    missing = materialize(missing, "token-misses")
+    few = missing.count() <= broadcast_rows
+    # few misses: their texts alone are shuffled; else copies are reduced to one text before the misses are picked out
+    texts = texts.join(F.broadcast(missing), "content", "left_semi") if few else texts
     distinct = texts.groupBy("content").agg(F.first("text").alias("text"))
+    distinct = distinct if few else distinct.join(missing, "content", "left_semi")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = counter(tokenizer_path)
@@ -125,6 +129,15 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None =
     counted = distinct.mapInArrow(encode, "content binary, n_tokens long")
     with small_batches(spark):
         counted.select("content", version.alias("version"), "n_tokens").write.mode("append").parquet(cache_path)
+    return keyed
+
+
+def count_tokens(docs: DataFrame, tokenizer_path: str, cache_path: str | None = None, *, limit: int = 4096, **options) -> DataFrame:
+    """A row per document: doc_id, n_bytes, n_tokens, over_limit. cache_path: a Parquet folder that grows by the misses."""
+    spark = docs.sparkSession
+    cache_path = cache_path or work_path(spark, "token-cache")
+    keyed = fill_cache(docs, tokenizer_path, cache_path, **options)
+    version = F.unhex(F.lit(tokenizer_version(tokenizer_path)))
     counts = spark.read.schema(CACHE_SCHEMA).parquet(cache_path).filter(F.col("version") == version).groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))
     # written, so that both sides are dealt for the join alone and Spark can split the copies of a frequent text
     counts = materialize(counts, "token-counts")

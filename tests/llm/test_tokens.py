@@ -4,6 +4,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
@@ -42,14 +43,15 @@ def test_memo_generations(monkeypatch):
         assert np.frombuffer(encoder.encode(t), encoder.dtype).tolist() == model.encode(t, add_special_tokens=False).ids
 
 
-def test_counts_and_cache(spark, documents, plain_documents):
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0])
+def test_counts_and_cache(spark, documents, plain_documents, broadcast_rows):
     model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     path = work_path(spark, "cache")
     half = documents.filter("doc_id % 2 = 0")
     token_counts.count_tokens(half, PIECES, path).collect()
     n_half = spark.read.parquet(path).count()
     assert n_half == half.select("text").distinct().count()
-    rows = {r.doc_id: r for r in token_counts.count_tokens(documents, PIECES, path, limit=300).collect()}
+    rows = {r.doc_id: r for r in token_counts.count_tokens(documents, PIECES, path, limit=300, broadcast_rows=broadcast_rows).collect()}
     assert spark.read.parquet(path).count() == documents.select("text").distinct().count()  # only the misses were added
     for i, t, _ in plain_documents:
         n = len(model.encode(t))
