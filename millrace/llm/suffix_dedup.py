@@ -7,17 +7,22 @@ together, and neighbouring strings with one anchor travel together in a frame of
  1. Documents are dealt to blocks. A block sends each distinct anchor gram's hash once, dealt to buckets by its upper
     bits; the bucket answers which of them occur in two or more documents.
  2. A block sends each distinct frame around a shared anchor once, with the smallest and largest id that has it there.
- 3. A bucket sorts the suffixes (the strings' starts) in its frames: a multikey quicksort with characters of some bytes
-    to a depth of 18 bytes, and blind tries for the groups that still agree. A trie's node knows only the place where its
+ 3. A bucket sorts the suffixes (the strings' starts) in its frames, shallow first: like a multikey quicksort it
+    partitions every group by its next character, but with characters of eight and five bytes and by a sort of all
+    groups' characters at once instead of a ternary split, to a depth of 18 bytes; then blind tries take the groups that
+    still agree. A trie's node knows only the place where its
     members first differ; members are dealt by the byte at that place, level by level for all tries at once, until a
     node's members agree in all 50 bytes. The smallest id of each such class goes back to the blocks.
  4. A block removes the bytes of strings whose class has a smaller id than the document.
 
-A hot string costs a frame a block, not a row a document. The texts are shuffled once; the steps read the same exchange.
-Strings are compared byte by byte; that a frame is known to its block by a 64-bit hash is the only use of hashes there.
+A hot string costs a frame a block, not a row a document. With many blocks the frames of a bucket are first merged in
+groups of `MERGE` blocks, so that a hot string costs the bucket a frame a group. The texts are shuffled once; the steps
+read the same exchange. There are as many buckets as blocks, so that neither grows with the input. Strings are compared
+byte by byte; a frame is known to its block by a hash of 128 bits.
 
 Edge cases: null and empty texts have no bytes; a null id counts as larger than any other; repeated ids are not smaller
-than each other; texts under 50 bytes lose nothing; an empty table gives an empty result. Long texts are handled whole,
+than each other; texts under 50 bytes lose nothing; other columns, whatever their names, are not read; an empty table
+gives an empty result. Long texts are handled whole,
 in pieces of bounded size where a step needs more memory than the text.
 """
 
@@ -31,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import text_of
+from millrace.llm.common import materialize, text_of
 
 MATCH, GRAM = 50, 16
 SPAN = MATCH - GRAM + 1
@@ -44,7 +49,9 @@ BLOCK_BYTES = 2_000_000
 PIECE = 1 << 15
 NO_ID = (1 << 63) - 1
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
-_FOLD = np.array([pow(0x9E3779B97F4A7C15, 2 * k + 3, 1 << 64) | 1 for k in range(ROW // 8)], np.uint64)
+_FOLDS = [np.array([pow(m, 2 * k + 3, 1 << 64) | 1 for k in range(ROW // 8)], np.uint64) for m in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)]
+#: Blocks whose frames of a bucket are merged before the bucket judges them.
+MERGE = 1_024
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -58,6 +65,12 @@ def gram_hash(words: np.ndarray, at: int | np.ndarray, n: int = 0) -> np.ndarray
     return mix(first * _M[0] + (second ^ _M[2]) * _M[1])
 
 
+def gram_of(frames: np.ndarray) -> np.ndarray:
+    """The hashes of frames' anchor grams."""
+    words = np.ascontiguousarray(frames[:, MATCH - GRAM : MATCH]).view("<u8")
+    return mix(words[:, 0] * _M[0] + (words[:, 1] ^ _M[2]) * _M[1])
+
+
 class Block:
     """The texts of a block in one buffer, by ascending id, with their anchors."""
 
@@ -118,9 +131,32 @@ class Block:
         rows[:, FRAME], rows[:, FRAME + 1] = low, high
         return rows
 
-    def marks(self, rows: np.ndarray) -> np.ndarray:
-        """64-bit names of frames."""
-        return mix((mix(rows.view("<u8")) * _FOLD).sum(1, dtype=np.uint64))
+
+
+def marks_of(rows: np.ndarray) -> np.ndarray:
+    """Names of frames, 128 bits as two numbers."""
+    words = mix(rows.view("<u8"))
+    return np.stack([mix((words * fold).sum(1, dtype=np.uint64)) for fold in _FOLDS], 1)
+
+
+def distinct(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each different name is first, and each name's place among them."""
+    by = np.lexsort((marks[:, 1], marks[:, 0]))
+    ordered = marks[by]
+    new = np.ones(len(by), bool)
+    new[1:] = (ordered[1:] != ordered[:-1]).any(1)
+    place = np.empty(len(by), np.int64)
+    place[by] = np.cumsum(new) - 1
+    return by[new], place
+
+
+def merged(rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Different frames with the smallest and largest id that has them, and each given frame's place among them."""
+    first, place = distinct(marks_of(rows))
+    least, most = np.full(len(first), NO_ID), np.zeros(len(first), np.int64)
+    np.minimum.at(least, place, low)
+    np.maximum.at(most, place, high)
+    return rows[first], least, most, place
 
 
 def sort_classes(frames: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -196,7 +232,8 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     own = docs.select(F.coalesce(key, F.lit(NO_ID)).alias("id"), text_of(text_col).alias("text"))
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // BLOCK_BYTES))
-    bits = min(16, max(6, (blocks - 1).bit_length()))
+    bits = min(32, max(6, (blocks - 1).bit_length()))
+    merges = -(-blocks // MERGE)
     dealt = own.select(F.pmod(F.xxhash64("id", F.substring("text", 1, 64)), F.lit(blocks)).alias("block"), "id", "text")
     top = np.uint64(64 - bits)
 
@@ -242,39 +279,74 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         kept: list[tuple[np.ndarray, ...]] = []
         for i in range(0, len(chosen), PIECE):
             part = chosen[i : i + PIECE]
-            rows = block.frames(part)
-            marks, first, places_ = np.unique(block.marks(rows), return_index=True, return_inverse=True)
-            most = np.zeros(len(marks), np.int64)
-            np.maximum.at(most, places_, block.ids[block.owner[part]])
-            kept.append((rows[first], marks, block.ids[block.owner[part]][first], most, (block.gram[part][first] >> top).astype(np.int64)))
+            owners = block.ids[block.owner[part]]
+            kept.append(merged(block.frames(part), owners, owners)[:3])
         if not kept:
-            return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), *[pa.binary()] * 4)], names=["block", "bucket", "frames", "marks", "low", "high"])
-        rows, marks, low, high, of = (np.concatenate(x) for x in zip(*kept))
-        marks, first, places_ = np.unique(marks, return_index=True, return_inverse=True)
-        least, most = np.full(len(marks), NO_ID), np.zeros(len(marks), np.int64)
-        np.minimum.at(least, places_, low)
-        np.maximum.at(most, places_, high)
-        by = np.argsort(of[first], kind="stable")
-        rows, marks, least, most, of = rows[first][by], marks[by], least[by], most[by], of[first][by]
+            return packed_frames(np.zeros((0, ROW), np.uint8), *[np.zeros(0, np.int64)] * 2, name(table))
+        return packed_frames(*merged(*(np.concatenate(x) for x in zip(*kept)))[:3], name(table))
+
+    def packed_frames(rows: np.ndarray, least: np.ndarray, most: np.ndarray, sender: int) -> pa.Table:
+        """A row per bucket with frames, for the bucket's judge."""
+        of = (gram_of(rows) >> top).astype(np.int64)
+        by = np.argsort(of, kind="stable")
+        rows, least, most, of = rows[by], least[by], most[by], of[by]
         bucket, begins = np.unique(of, return_index=True)
         cuts = list(zip(begins, np.append(begins[1:], len(of))))
-        packed = [pa.array([zlib.compress(rows[a:b].tobytes(), 1) for a, b in cuts], pa.binary()), *(pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary()) for x in (marks, least, most))]
-        return pa.table([pa.array([name(table)] * len(cuts), pa.int64()), pa.array(bucket, pa.int64()), *packed], names=["block", "bucket", "frames", "marks", "low", "high"])
+        packed = [pa.array([zlib.compress(rows[a:b].tobytes(), 1) for a, b in cuts], pa.binary()), *(pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary()) for x in (least, most))]
+        return pa.table([pa.array([sender] * len(cuts), pa.int64()), pa.array(bucket, pa.int64()), *packed], names=["block", "bucket", "frames", "low", "high"])
+
+    def unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Frames, ids, and the row of the table that each frame is from."""
+        low, high = (np.concatenate([np.frombuffer(x.as_py(), "<i8") for x in table.column(c)]) for c in ("low", "high"))
+        rows = np.concatenate([np.frombuffer(zlib.decompress(x.as_py()), np.uint8) for x in table.column("frames")]).reshape(-1, ROW)
+        return rows, low, high, np.repeat(np.arange(len(table)), [len(x.as_py()) // 8 for x in table.column("low")])
+
+    def merge(table: pa.Table) -> pa.Table:
+        """The frames of a bucket from one group of blocks, once each; the group's number is their sender."""
+        rows, low, high, _ = unpacked(table)
+        return packed_frames(*merged(rows, low, high)[:3], table.column("block")[0].as_py() // MERGE)
+
+    def runs_table(senders: list, frames: np.ndarray, sender: np.ndarray, a: np.ndarray, z: np.ndarray, least: np.ndarray, bucket: int) -> pa.Table:
+        """A row per sender with the runs of its frames."""
+        marks = marks_of(frames)
+        block, begins = np.unique(sender, return_index=True)
+        cuts = list(zip(begins, np.append(begins[1:], len(sender))))
+        columns = [pa.array([zlib.compress(x[i:j].tobytes(), 1) for i, j in cuts], pa.binary()) for x in (marks, a, z, least)]
+        return pa.table([pa.array([senders[k] for k in block], pa.int64()), pa.array([bucket] * len(cuts), pa.int64()), *columns], names=["block", "bucket", "marks", "first", "last", "least"])
+
+    def load_runs(runs: pa.Table) -> tuple[np.ndarray, ...]:
+        """Runs by their frames' names, ascending."""
+        load = lambda c, kind: np.concatenate([np.frombuffer(zlib.decompress(x.as_py()), kind) for x in runs.column(c)])
+        marks, first, last, least = load("marks", "<u8").reshape(-1, 2), load("first", np.uint8), load("last", np.uint8), load("least", "<i8")
+        by = np.lexsort((marks[:, 1], marks[:, 0]))
+        return marks[by], first[by], last[by], least[by]
+
+    def runs_of(own: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs (frame, run) that agree in their names."""
+        lo, hi = np.searchsorted(marks[:, 0], own[:, 0], "left"), np.searchsorted(marks[:, 0], own[:, 0], "right")
+        times = hi - lo
+        run = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times - lo, times)
+        frame = np.repeat(np.arange(len(own)), times)
+        same = marks[run, 1] == own[frame, 1]
+        return frame[same], run[same]
+
+    def split(table: pa.Table, runs: pa.Table) -> pa.Table:
+        """The runs of a bucket's merged frames, for each block of the group that has them."""
+        if not len(table) or not len(runs):
+            return runs.slice(0, 0).select(["block", "bucket", "marks", "first", "last", "least"])
+        rows, _, high, of = unpacked(table)
+        marks, a, z, least = load_runs(runs)
+        frame, run = runs_of(marks_of(rows), marks)
+        later = least[run] < high[frame]
+        frame, run = frame[later], run[later]
+        by = np.argsort(of[frame], kind="stable")
+        frame, run = frame[by], run[by]
+        return runs_table(table.column("block").to_pylist(), rows[frame], of[frame], a[run], z[run], least[run], table.column("bucket")[0].as_py())
 
     def judge(table: pa.Table) -> pa.Table:
-        load = lambda c, kind: np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(c)])
-        marks, low, high = load("marks", "<u8"), load("low", "<i8"), load("high", "<i8")
-        sizes = [len(x.as_py()) // 8 for x in table.column("marks")]
-        of = np.repeat(np.arange(len(sizes)), sizes)
-        names, first, place = np.unique(marks, return_index=True, return_inverse=True)
-        frames = np.concatenate([np.frombuffer(zlib.decompress(x.as_py()), np.uint8) for x in table.column("frames")]).reshape(-1, ROW)[first]
-        least_id = np.full(len(names), NO_ID)
-        np.minimum.at(least_id, place, low)
-        most_id = np.zeros(len(names), np.int64)
-        np.maximum.at(most_id, place, high)
-        words = np.ascontiguousarray(frames[:, MATCH - GRAM : MATCH]).view("<u8")
-        part = mix(words[:, 0] * _M[0] + (words[:, 1] ^ _M[2]) * _M[1])
-        part = (part >> np.uint64(8)) % np.uint64(max(1, len(names) // 4_000))
+        given, low, high, of = unpacked(table)
+        frames, least_id, most_id, place = merged(given, low, high)
+        part = (gram_of(frames) >> np.uint64(8)) % np.uint64(max(1, len(frames) // 4_000))
         found: list[tuple[np.ndarray, ...]] = []
         by = np.argsort(part)
         for own in np.split(by, np.flatnonzero(np.diff(part[by])) + 1) if len(by) else []:
@@ -291,47 +363,33 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             a = np.flatnonzero(new)
             z = np.append(a[1:], len(frame)) - 1 if len(a) else a
             found.append((own[frame[a]], offset[a].astype(np.uint8), offset[z].astype(np.uint8), least[a]))
-        if not found:
-            return pa.table([pa.array([], t) for t in (pa.int64(), *[pa.binary()] * 4)], names=["block", "marks", "first", "last", "least"])
-        name_, a, z, least = (np.concatenate(x) for x in zip(*found))
-        # every block that has the frame gets its runs
+        name_, a, z, least = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64), *[np.zeros(0, np.uint8)] * 2, np.zeros(0, np.int64))
+        # every sender that has the frame gets its runs
         by = np.argsort(name_, kind="stable")
         name_, a, z, least = name_[by], a[by], z[by], least[by]
         lo, hi = np.searchsorted(name_, place, "left"), np.searchsorted(name_, place, "right")
         times = hi - lo
         run = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times - lo, times)
-        sender = np.repeat(np.arange(len(place)), times)
-        later = least[run] < high[sender]
-        run, sender = run[later], sender[later]
-        runs = (marks[sender], a[run], z[run], least[run])
-        block, begins = np.unique(of[sender], return_index=True)
-        cuts = list(zip(begins, np.append(begins[1:], len(sender))))
-        blocks_ = table.column("block").to_pylist()
-        return pa.table([pa.array([blocks_[k] for k in block], pa.int64()), *(pa.array([zlib.compress(x[i:j].tobytes(), 1) for i, j in cuts], pa.binary()) for x in runs)], names=["block", "marks", "first", "last", "least"])
+        row = np.repeat(np.arange(len(place)), times)
+        later = least[run] < high[row]
+        run, row = run[later], row[later]
+        return runs_table(table.column("block").to_pylist(), given[row], of[row], a[run], z[run], least[run], table.column("bucket")[0].as_py())
 
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_kept
 
     def cut(table: pa.Table, runs: pa.Table) -> pa.Table:
         block = Block(table)
         cover = np.zeros(len(block.buffer) + 1, np.int32)
-        load = lambda c, kind: np.concatenate([np.frombuffer(zlib.decompress(x.as_py()), kind) for x in runs.column(c)])
         if len(runs):
-            marks, first, last, least = load("marks", "<u8"), load("first", np.uint8), load("last", np.uint8), load("least", "<i8")
-            by = np.argsort(marks, kind="stable")
-            marks, first, last, least = marks[by], first[by].astype(np.int64), last[by].astype(np.int64), least[by]
+            marks, first, last, least = load_runs(runs)
             for i in range(0, len(block.anchor), PIECE):
                 part = np.arange(i, min(i + PIECE, len(block.anchor)))
-                own = block.marks(block.frames(part))
-                a, z = np.searchsorted(marks, own, "left"), np.searchsorted(marks, own, "right")
-                has = z > a
-                part, a, z = part[has], a[has], z[has]
-                times = z - a
-                run = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times) + np.repeat(a, times)
-                anchor = np.repeat(part, times)
+                frame, run = runs_of(marks_of(block.frames(part)), marks)
+                anchor = part[frame]
                 later = least[run] < block.ids[block.owner[anchor]]
                 run, left = run[later], block.anchor[anchor[later]] - (MATCH - GRAM)
                 np.add.at(cover, left + first[run], 1)
-                np.add.at(cover, left + last[run] + MATCH, -1)
+                np.add.at(cover, left + last[run].astype(np.int64) + MATCH, -1)
         removed = np.cumsum(cover[:-1]) > 0
         out = []
         for key, at, size in zip(block.ids.tolist(), block.starts.tolist(), block.lengths.tolist()):
@@ -345,6 +403,14 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
     asked = dealt.groupBy("block").applyInArrow(ask, "block long, bucket long, grams binary, twice binary")
     masks = asked.groupBy("bucket").applyInArrow(share, "block long, bucket long, shared binary")
-    sent = dealt.groupBy("block").cogroup(masks.groupBy("block")).applyInArrow(send, "block long, bucket long, frames binary, marks binary, low binary, high binary")
-    judged = sent.groupBy("bucket").applyInArrow(judge, "block long, marks binary, first binary, last binary, least binary")
+    sent_types, run_types = "block long, bucket long, frames binary, low binary, high binary", "block long, bucket long, marks binary, first binary, last binary, least binary"
+    sent = dealt.groupBy("block").cogroup(masks.groupBy("block")).applyInArrow(send, sent_types)
+    if merges == 1:
+        judged = sent.groupBy("bucket").applyInArrow(judge, run_types)
+    else:  # in two steps, there and back
+        group = F.floor(F.col("block") / MERGE).cast("long")
+        sent = materialize(sent, "suffix-frames")
+        fewer = sent.groupBy("bucket", group.alias("group")).applyInArrow(merge, sent_types)
+        answers = fewer.groupBy("bucket").applyInArrow(judge, run_types)
+        judged = sent.groupBy("bucket", group.alias("group")).cogroup(answers.groupBy("bucket", F.col("block").alias("group"))).applyInArrow(split, run_types)
     return dealt.groupBy("block").cogroup(judged.groupBy("block")).applyInArrow(cut, schema)

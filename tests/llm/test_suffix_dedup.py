@@ -47,9 +47,10 @@ def texts(seed):
     return out
 
 
-@pytest.mark.parametrize("seed,block", [(1, 2_000_000), (2, 300), (3, 2_000)])
-def test_against_brute_force(spark, monkeypatch, seed, block):
+@pytest.mark.parametrize("seed,block,merge", [(1, 2_000_000, 1_024), (2, 300, 1_024), (3, 2_000, 1_024), (2, 300, 4), (3, 2_000, 1)])
+def test_against_brute_force(spark, monkeypatch, seed, block, merge):
     monkeypatch.setattr(suffix_dedup, "BLOCK_BYTES", block)
+    monkeypatch.setattr(suffix_dedup, "MERGE", merge)
     rows = list(enumerate(texts(seed)))
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as block", "2 as id", "3 as bucket").repartition(3)
     assert found(df) == brute(rows)
