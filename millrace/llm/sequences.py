@@ -16,8 +16,8 @@ Encoding goes through a memo of white-space-separated units, which is exact for
 pre-tokenizer treat white space as a break and drop it; texts with U+001C to U+001F, which Python takes for white space
 and the tokenizer does not, are encoded whole, and so is every text for other tokenizers.
 
-Edge cases: null and empty texts are the end id alone; repeated ids are ordered by text and each keep an entry; an
-empty table writes no file and reads back as no rows. A long text is encoded whole, into one file.
+Edge cases: null and empty texts are the end id alone; repeated ids are ordered by text and each keep an entry; other
+columns, whatever their names, are not read; an empty table writes no file and reads back as no rows. A long text is encoded whole, into one file.
 """
 
 from __future__ import annotations
@@ -92,12 +92,13 @@ class Encoder:
         # the vocabulary is not needed here
         spec = json.loads(text[: text.index('"model"')] + '"model": null}')
         parts = lambda x, key: (x or {}).get(key) or ([x] if x else [])
-        normal = [p["type"] for p in parts(spec.get("normalizer"), "normalizers")]
+        normal = [(p["type"], p.get("pattern"), p.get("content")) for p in parts(spec.get("normalizer"), "normalizers")]
+        known = [("NFC", None, None), ("Replace", {"Regex": r"\s+"}, " "), ("Lowercase", None, None)]
         breaks = [p for p in parts(spec.get("pre_tokenizer"), "pretokenizers") if p["type"] == "Split" and p["invert"] and p["behavior"] == "Removed"]
         pattern = breaks[0]["pattern"].get("Regex", "") if breaks else ""
         letters_apart = pattern.endswith(r"[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
         added = [a["content"] for a in spec.get("added_tokens", [])]
-        self.by_unit = normal == ["NFC", "Replace", "Lowercase"] and letters_apart and spec.get("post_processor") is None and not any(c.isspace() for a in added for c in a) and not any(a["lstrip"] or a["rstrip"] for a in spec.get("added_tokens", []))
+        self.by_unit = normal == known and letters_apart and spec.get("post_processor") is None and not any(c.isspace() for a in added for c in a) and not any(a["lstrip"] or a["rstrip"] for a in spec.get("added_tokens", []))
         # with lower-case special strings, lowering a text can't make or break one
         self.lowers = all(a == a.lower() for a in added)
         # bytes as the byte-level pre-tokenizer writes them: printable ones as they are, the others from 256 up

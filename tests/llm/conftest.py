@@ -21,7 +21,7 @@ def odd_docs(spark):
         (None, None, None, None),
         (8, "one\ntwo\none", "en", "c"),
     ]
-    clash = "1 as id, 2 as block, 3 as row, 4 as key, 5 as h, 6 as size, 7 as n, 8 as place, 9 as class, 10 as digest, 11 as shard, 12 as at, 13 as words"
+    clash = "1 as id, 2 as block, 3 as row, 4 as key, 5 as h, 6 as size, 7 as n, 8 as place, 9 as class, 10 as digest, 11 as shard, 12 as at, 13 as words, 14 as __id, 15 as __digest, 16 as __source, 17 as __shard, 18 as __order, 19 as pick_id, 20 as gone_id, 21 as pick_order, 22 as gone_digest, 23 as source_size"
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     return df.selectExpr("*", *clash.split(", "))
 
