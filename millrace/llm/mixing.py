@@ -18,6 +18,7 @@ any name pass through; an empty table gives an empty mix.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -165,9 +166,12 @@ def taken_words(docs: DataFrame, **options) -> DataFrame:
     """A row per document: doc_id, size, source_size, target, taken (words the shards take, repeats counted), shards
     (their numbers, ascending)."""
     sized, picks = mix(docs, **options)
-    by_row = picks.groupBy(F.col("id").alias("t_id"), F.col("key").alias("t_key")).agg(F.sum("size").alias("words"), F.array_join(F.array_sort(F.collect_list("shard")), ",").alias("shards"))
+    copies = range(1, ceil(options.get("cap", 2.0)) + 1)
+    in_copy = [F.max(F.when(F.col("copy") == k, F.col("shard"))).alias(f"shard_{k}") for k in copies]
+    by_row = picks.groupBy(F.col("id").alias("t_id"), F.col("key").alias("t_key")).agg(F.sum("size").alias("words"), *in_copy)
     joined = sized.join(by_row, F.col("id").eqNullSafe(F.col("t_id")) & (F.col("key") == F.col("t_key")), "left")
-    return joined.select(F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"), F.coalesce("shards", F.lit("")).alias("shards"))
+    shards = F.array_join(F.array_sort(F.array_compact(F.array(*[F.col(f"shard_{k}") for k in copies]))), ",")
+    return joined.select(F.col("id").alias("doc_id"), "size", "source_size", "target", F.coalesce("words", F.lit(0)).cast("long").alias("taken"), shards.alias("shards"))
 
 
 def mixed_rows(docs: DataFrame, **options) -> DataFrame:
