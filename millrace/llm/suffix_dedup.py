@@ -18,7 +18,7 @@ together, and neighbouring strings with one anchor travel together in a frame of
 A hot string costs a frame a block, not a row a document. With many blocks the frames of a bucket are first merged in
 groups of `MERGE` blocks, so that a hot string costs the bucket a frame a group. The texts are shuffled once; the steps
 read the same exchange. There are as many buckets as blocks, so that neither grows with the input. Strings are compared
-byte by byte; a frame is known to its block by a hash of 128 bits.
+byte by byte; an answer names its frame to a block by a hash of 128 bits.
 
 Edge cases: null and empty texts have no bytes; a null id counts as larger than any other; repeated ids are not smaller
 than each other; texts under 50 bytes lose nothing; other columns, whatever their names, are not read; an empty table
@@ -133,18 +133,21 @@ class Block:
 
 
 
-def marks_of(rows: np.ndarray) -> np.ndarray:
-    """Names of frames, 128 bits as two numbers."""
-    words = mix(rows.view("<u8"))
-    return np.stack([mix((words * fold).sum(1, dtype=np.uint64)) for fold in _FOLDS], 1)
+def name_of(rows: np.ndarray, half: int) -> np.ndarray:
+    """Half of the 128-bit names of frames."""
+    return mix((mix(rows.view("<u8")) * _FOLDS[half]).sum(1, dtype=np.uint64))
 
 
-def distinct(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Where each different name is first, and each name's place among them."""
-    by = np.lexsort((marks[:, 1], marks[:, 0]))
-    ordered = marks[by]
+def distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each different frame is, and each frame's place among them. Frames of one name are compared in full."""
+    words, name = rows.view("<u8"), name_of(rows, 0)
+    by = np.argsort(name)
     new = np.ones(len(by), bool)
-    new[1:] = (ordered[1:] != ordered[:-1]).any(1)
+    new[1:] = name[by[1:]] != name[by[:-1]]
+    tied = np.flatnonzero(~new)
+    if (words[by[tied]] != words[by[tied - 1]]).any():
+        _, first, place = np.unique(words, axis=0, return_index=True, return_inverse=True)
+        return first, place.reshape(-1)
     place = np.empty(len(by), np.int64)
     place[by] = np.cumsum(new) - 1
     return by[new], place
@@ -152,7 +155,7 @@ def distinct(marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def merged(rows: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Different frames with the smallest and largest id that has them, and each given frame's place among them."""
-    first, place = distinct(marks_of(rows))
+    first, place = distinct(rows)
     least, most = np.full(len(first), NO_ID), np.zeros(len(first), np.int64)
     np.minimum.at(least, place, low)
     np.maximum.at(most, place, high)
@@ -308,27 +311,28 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
     def runs_table(senders: list, frames: np.ndarray, sender: np.ndarray, a: np.ndarray, z: np.ndarray, least: np.ndarray, bucket: int) -> pa.Table:
         """A row per sender with the runs of its frames."""
-        marks = marks_of(frames)
+        marks = np.stack([name_of(frames, 0), name_of(frames, 1)], 1)
         block, begins = np.unique(sender, return_index=True)
         cuts = list(zip(begins, np.append(begins[1:], len(sender))))
         columns = [pa.array([zlib.compress(x[i:j].tobytes(), 1) for i, j in cuts], pa.binary()) for x in (marks, a, z, least)]
         return pa.table([pa.array([senders[k] for k in block], pa.int64()), pa.array([bucket] * len(cuts), pa.int64()), *columns], names=["block", "bucket", "marks", "first", "last", "least"])
 
     def load_runs(runs: pa.Table) -> tuple[np.ndarray, ...]:
-        """Runs by their frames' names, ascending."""
+        """Runs by the first half of their frames' names, ascending."""
         load = lambda c, kind: np.concatenate([np.frombuffer(zlib.decompress(x.as_py()), kind) for x in runs.column(c)])
         marks, first, last, least = load("marks", "<u8").reshape(-1, 2), load("first", np.uint8), load("last", np.uint8), load("least", "<i8")
-        by = np.lexsort((marks[:, 1], marks[:, 0]))
+        by = np.argsort(marks[:, 0], kind="stable")
         return marks[by], first[by], last[by], least[by]
 
-    def runs_of(own: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def runs_of(rows: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The pairs (frame, run) that agree in their names."""
-        lo, hi = np.searchsorted(marks[:, 0], own[:, 0], "left"), np.searchsorted(marks[:, 0], own[:, 0], "right")
-        times = hi - lo
+        own = name_of(rows, 0)
+        lo, hi = np.searchsorted(marks[:, 0], own, "left"), np.searchsorted(marks[:, 0], own, "right")
+        has = np.flatnonzero(hi > lo)
+        lo, times = lo[has], (hi - lo)[has]
         run = np.arange(times.sum()) - np.repeat(np.cumsum(times) - times - lo, times)
-        frame = np.repeat(np.arange(len(own)), times)
-        same = marks[run, 1] == own[frame, 1]
-        return frame[same], run[same]
+        same = marks[run, 1] == np.repeat(name_of(rows[has], 1), times)
+        return np.repeat(has, times)[same], run[same]
 
     def split(table: pa.Table, runs: pa.Table) -> pa.Table:
         """The runs of a bucket's merged frames, for each block of the group that has them."""
@@ -336,7 +340,7 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             return runs.slice(0, 0).select(["block", "bucket", "marks", "first", "last", "least"])
         rows, _, high, of = unpacked(table)
         marks, a, z, least = load_runs(runs)
-        frame, run = runs_of(marks_of(rows), marks)
+        frame, run = runs_of(rows, marks)
         later = least[run] < high[frame]
         frame, run = frame[later], run[later]
         by = np.argsort(of[frame], kind="stable")
@@ -384,7 +388,7 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
             marks, first, last, least = load_runs(runs)
             for i in range(0, len(block.anchor), PIECE):
                 part = np.arange(i, min(i + PIECE, len(block.anchor)))
-                frame, run = runs_of(marks_of(block.frames(part)), marks)
+                frame, run = runs_of(block.frames(part), marks)
                 anchor = part[frame]
                 later = least[run] < block.ids[block.owner[anchor]]
                 run, left = run[later], block.anchor[anchor[later]] - (MATCH - GRAM)

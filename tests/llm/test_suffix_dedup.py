@@ -77,3 +77,12 @@ def test_sort_is_the_order_of_suffixes():
     suffixes = [frames[f, o : o + 50].tobytes() for f, o in zip(frame, offset)]
     assert [False] + [a == b for a, b in zip(suffixes, suffixes[1:])] == equal.tolist()
     assert len(suffixes) == 400 * 35 and suffixes == sorted(suffixes)
+
+
+def test_frames_of_one_name_are_compared(monkeypatch):
+    rows = np.random.default_rng(2).integers(0, 3, (300, suffix_dedup.ROW)).astype(np.uint8)
+    rows[:, 4:] = 0
+    for name in (suffix_dedup.name_of, lambda rows, half: np.zeros(len(rows), np.uint64)):
+        monkeypatch.setattr(suffix_dedup, "name_of", name)
+        first, place = suffix_dedup.distinct(rows)
+        assert len(first) == len({r.tobytes() for r in rows}) and (rows[first][place] == rows).all()
