@@ -64,6 +64,8 @@ LANGUAGE_HINTS: dict[str, tuple[str, ...]] = {
     "en": (" the ", " and ", " your ", " should ", " check ", " water ", " soil ", " veterinarian "),
 }
 
+#: Fixed value: a marker of the chat template that an answer must not have.
+TEMPLATE_LEAK = "<|turn>"
 #: A dose, a question back, and a first step, in an answer.
 DOSE = r"\b\d+(?:\.\d+)?\s*(?:ml|millilit(?:er|re)|g|gram|kg|lit(?:er|re))(?:\s*/\s*(?:l|lit(?:er|re)|ha|acre|ekari))?"
 ASKS_BACK = r"\?|which crop|what crop|location|eneo|aina gani|mazao gani|wapi"

@@ -73,7 +73,8 @@ def too_long(source: Column, target: Column, ratio: float, padding: int) -> Colu
 def first_reason(user: Column, assistant: Column, source_user: Column, source_assistant: Column, *, phrases=lex.BAD_PHRASES, words=lex.ENGLISH_TERMS, headings=lex.ENGLISH_HEADINGS, patterns=lex.BAD_PATTERNS, shown: int = 12, user_bound=(2.6, 140), assistant_bound=(1.8, 256)) -> Column:
     """The first check that a translated pair fails, or null. user and assistant are normalised texts.
 
-    Checks run in order and stop at the first that fails; each list of hits is made once.
+    Checks run in order and stop at the first that fails; each list of hits is made once. The wording of the reasons is a
+    fixed value: checkpoints and reports count them.
     """
     empty = F.lit("")
     given = lambda c: F.coalesce(c, empty)
@@ -82,20 +83,24 @@ def first_reason(user: Column, assistant: Column, source_user: Column, source_as
     def listed(title: str, hits: Column, otherwise: Column) -> Column:
         return tx.let(hits, lambda h: F.when(F.size(h) > 0, F.concat(F.lit(title + ": "), F.array_join(F.slice(h, 1, shown), ", "))).otherwise(otherwise))
 
+    def lengthy(title: str, source: Column, target: Column, bound: tuple[float, int], otherwise: Column) -> Column:
+        said = F.concat(F.lit(title + ": "), F.length(target), F.lit(" chars > "), F.floor(F.length(source) * F.lit(bound[0])) + bound[1], F.lit(" chars"))
+        return F.when((given(source) != "") & too_long(source, target, *bound), said).otherwise(otherwise)
+
     # from the last check to the first
-    reason = F.when((given(source_user) != "") & too_long(source_user, user, *user_bound), "user translation too long").otherwise(none)
-    reason = F.when((given(source_assistant) != "") & too_long(source_assistant, assistant, *assistant_bound), "assistant translation too long").otherwise(reason)
+    reason = lengthy("user translation too long", source_user, user, user_bound, none)
+    reason = lengthy("assistant translation too long", source_assistant, assistant, assistant_bound, reason)
     both = F.concat(user, F.lit("\n"), assistant)
     lengths = reason
 
     def against_source(source: Column) -> Column:
-        return listed("missing numerals", missing_numbers(source, both), listed("conversion issues", added_conversions(source, both), lengths))
+        return listed("missing numerals from English", missing_numbers(source, both), listed("QC conversion issues", added_conversions(source, both), lengths))
 
     has_source = (given(source_user) != "") | (given(source_assistant) != "")
     reason = F.when(has_source, tx.let(tx.normalize_text(F.concat(given(source_user), F.lit("\n"), given(source_assistant))), against_source)).otherwise(none)
-    for title, hits in (("pattern failures", pattern_hits(both, patterns)), ("foreign headings", heading_hits(both, headings)), ("untranslated terms", word_hits(both, words)), ("forbidden phrases", phrase_hits(both, phrases))):
+    for title, hits in (("QC pattern failures", pattern_hits(both, patterns)), ("QC English headings", heading_hits(both, headings)), ("QC untranslated English terms", word_hits(both, words)), ("QC forbidden Swahili phrases", phrase_hits(both, phrases))):
         reason = listed(title, hits, reason)
-    reason = F.when(user == assistant, "user and assistant translations are identical").otherwise(reason)
+    reason = F.when(tx.strip(user) == tx.strip(assistant), "user and assistant translations are identical").otherwise(reason)
     reason = F.when(tx.strip(given(assistant)) == "", "empty translated assistant turn").otherwise(reason)
     return F.when(tx.strip(given(user)) == "", "empty translated user turn").otherwise(reason)
 
@@ -132,10 +137,9 @@ def rubric(category: Column, language: Column, output: Column, hints: dict[str,
     return {"empty": empty, "language_ok": fits, "actionable": acts, "invented_dose": invented, "asks_clarify": asked, "score": F.bround(points / 4.0, 3)}
 
 
-def warnings(text: Column, *, must_have: tuple[str, ...] = (), leaks: tuple[str, ...] = ("<start_of_turn>", "<end_of_turn>", "<|im_start|>"), least: int = 20) -> Column:
-    """What is odd about a sample output."""
-    bare = tx.strip(F.coalesce(text, F.lit("")))
-    found = [("empty output", bare == ""), ("short output", (bare != "") & (F.length(bare) < least))]
-    found += [(f"leaked marker {m}", F.contains(bare, F.lit(m))) for m in leaks]
-    found += [(f"missing {m}", ~F.contains(bare, F.lit(m))) for m in must_have]
+def warnings(prompt_name: Column, output: Column, *, leak: str = lex.TEMPLATE_LEAK, dose: str = lex.DOSE) -> Column:
+    """What is odd about a sample output: nothing in it, a template's marker, or a dose in answer to a safety prompt."""
+    text = F.coalesce(output, F.lit(""))
+    # fixed values: the labels
+    found = [("empty_output", tx.strip(text) == ""), ("template_token_leak", F.contains(text, F.lit(leak))), ("possible_unsupported_exact_dosage", F.contains(F.coalesce(prompt_name, F.lit("")), F.lit("safety")) & text.rlike(f"(?iU){dose}"))]
     return F.array_compact(F.array(*[F.when(test, F.lit(label)) for label, test in found]))

@@ -159,3 +159,17 @@ def preference_pairs(rows: DataFrame) -> DataFrame:
     ends = F.try_element_at("prompt", F.lit(-1))["role"] == "user"
     begins = F.get("chosen", F.lit(0))["role"] == "model"
     return made.filter(F.col("prompt").isNotNull() & F.col("chosen").isNotNull() & F.col("rejected").isNotNull() & ends & begins)
+
+
+def pair_gate(valid: Column, prompt: Column, chosen: Column, rejected: Column, n_prompt: Column, n_chosen: Column, n_rejected: Column, *, most_prompt: int, most_completion: int, most_total: int) -> Column:
+    """What becomes of a preference pair: the first outcome that holds, else kept.
+
+    valid: whether the row is a pair; prompt, chosen and rejected: rendered texts, null where the rendering can't be
+    spliced; n_: their tokens. The bounds are on the prompt, the longer completion, and both together.
+    """
+    longest = F.greatest(n_chosen, n_rejected)
+    # fixed values: the outcomes, in the order of the checks
+    outcome = F.when(~F.coalesce(valid, F.lit(False)), "invalid_row")
+    outcome = outcome.when(prompt.isNull() | chosen.isNull() | rejected.isNull(), "render_splice_failed")
+    outcome = outcome.when(n_prompt > most_prompt, "prompt_too_long").when(longest > most_completion, "completion_too_long").when(n_prompt + longest > most_total, "too_long")
+    return outcome.when((strip(chosen) == "") | (strip(rejected) == ""), "empty_completion").otherwise("kept")

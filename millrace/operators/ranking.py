@@ -81,15 +81,26 @@ def diagnosis(reference: Column, best_other: Column, good: float = 0.75, gap: fl
     return F.when(reference.isNull(), "inconclusive").when(reference < good, "finetuning_or_template_issue").when(best_other < reference - gap, "quantization_issue").otherwise("mixed_or_acceptable")
 
 
-def first_match(left: DataFrame, right: DataFrame, test: Column, *, left_keys: list[str], order: list[str]) -> DataFrame:
-    """Left rows with their first right row (by order) that passes a test of any kind; left rows without one stay.
+def first_match(left: DataFrame, right: DataFrame, test: Column, *, order: list[str]) -> DataFrame:
+    """Left rows with their first right row (by order) that passes a test of any kind; left rows without one stay, and
+    so do repeated ones.
 
-    An aggregation picks the first match; the right side must be a small table, and is sent to all tasks by Spark's rule.
+    An aggregation by the different left rows picks the first match, and a join gives it to each of them. The right side
+    must be a small table, and is sent to all tasks by Spark's rule.
     """
-    rest = list(right.columns)
-    joined = left.join(right, test, "left")
-    keys = [c for c in left.columns]
-    return joined.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__first")).select(*keys, "__first.*")
+    keys, rest = list(left.columns), list(right.columns)
+    firsts = left.distinct().join(right, test).groupBy(*keys).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__first"))
+    renamed = firsts.select(*[F.col(c).alias(f"__{k}") for k, c in enumerate(keys)], "__first")
+    on = F.lit(True)
+    for k, c in enumerate(keys):
+        on = on & left[c].eqNullSafe(F.col(f"__{k}"))
+    return left.join(renamed, on, "left").select(*[left[c] for c in keys], "__first.*")
+
+
+def enriched(rows: DataFrame, candidates: DataFrame, key: str, columns: list[str]) -> DataFrame:
+    """Ranked rows with columns of their candidates; rows without one stay, with nulls. candidates: one row a key."""
+    there = candidates.select(F.col(key).alias("__key"), *columns)
+    return rows.join(there, rows[key] == F.col("__key"), "left").drop("__key")
 
 
 def resolve_files(recipes: DataFrame, files: DataFrame, folder: str = "folder") -> DataFrame:
@@ -112,7 +123,7 @@ def resolve_files(recipes: DataFrame, files: DataFrame, folder: str = "folder")
 
 def first_pattern(names: DataFrame, patterns: DataFrame, name: str = "name") -> DataFrame:
     """The names that match the first pattern that any name matches. patterns: rank, pattern (few rows)."""
-    hits = names.crossJoin(F.broadcast(patterns)).filter(F.regexp_like(F.col(name), F.col("pattern")))
+    hits = names.join(patterns, F.regexp_like(F.col(name), F.col("pattern")))
     best = hits.agg(F.min("rank").alias("__best"))
     return hits.crossJoin(F.broadcast(best)).filter(F.col("rank") == F.col("__best")).select(*names.columns)
 

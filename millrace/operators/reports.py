@@ -86,8 +86,14 @@ def patched_tags(tags: Column, *, drop: tuple[str, ...] = (), first: tuple[str,
     return out
 
 
-def card(rows: DataFrame, title: str, language: str = "language", source: str = "source") -> str:
-    """A data set's card in markdown, from two small aggregations."""
-    n = rows.count()
-    table = lambda by: "\n".join(f"| {r[by]} | {r['n']:,} |" for r in counts(rows, by).orderBy(by).limit(200).collect())
-    return f"# {title}\n\n{n:,} rows\n\n| {language} | rows |\n|---|---|\n{table(language)}\n\n| {source} | rows |\n|---|---|\n{table(source)}\n"
+def card(rows: DataFrame, title: str, *by: str) -> DataFrame:
+    """One row, markdown: a data set's card, with the rows by each of some columns (language and source). All their
+    values are listed, from one aggregation that combines before the shuffle."""
+    by = by or ("language", "source")
+    line = lambda key, n: F.concat(F.lit("| "), key, F.lit(" | "), F.format_number(n, 0), F.lit(" |"))
+    tables = breakdown(rows.withColumn("__one", F.lit(1)), "__one", *by)
+    listed = tables.groupBy("dimension").agg(F.sum("n").alias("n"), F.array_sort(F.collect_list(F.struct(F.coalesce("key", F.lit("-")).alias("key"), "n"))).alias("lines"))
+    shown = listed.select("dimension", "n", F.array_join(F.transform("lines", lambda x: line(x["key"], x["n"])), "\n").alias("lines"))
+    part = lambda d: F.concat(F.lit(f"| {d} | rows |\n|---|---|\n"), F.coalesce(F.max(F.when(F.col("dimension") == d, F.col("lines"))), F.lit("")), F.lit("\n"))
+    head = F.concat(F.lit(f"# {title}\n\n"), F.format_number(F.coalesce(F.max("n"), F.lit(0)), 0), F.lit(" rows\n\n"))
+    return shown.agg(F.concat(head, *[c for k, d in enumerate(by) for c in (([F.lit("\n")] if k else []) + [part(d)])]).alias("markdown"))

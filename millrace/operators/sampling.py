@@ -120,12 +120,12 @@ def top_up(chosen: DataFrame, pool: DataFrame, key: str, floor_tokens: int, per_
     return chosen.unionByName(extra, allowMissingColumns=True)
 
 
-def training_set(pools: DataFrame, shares: DataFrame, *, base: str, fractions: dict[str, float], seed: int, key: str = "source_id", legacy: bool = False) -> DataFrame:
+def training_set(pools: DataFrame, shares: DataFrame, *, base: str, fractions: dict[str, float], seed: int, key: str = "source_id", legacy: bool = False, legacy_heldout: int = 250) -> DataFrame:
     """Rows with part: train, eval or heldout. pools: pool and key columns; shares: pool, share of the base pool.
 
     Each pool is split before it is mixed, and each pool's train rows are sampled to their share. Held-out rows come from
-    the split; legacy leaves pools without a fraction unsplit and draws their held-out rows from the training rows, as
-    older runs did, which leaks.
+    the split; legacy leaves pools without a fraction unsplit and draws legacy_heldout rows of each from its training rows,
+    as older runs did, which leaks.
     """
     fraction = F.lit(0.0)
     for pool, f in fractions.items():

@@ -2,30 +2,44 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 32
 
 
+def half(x: Column) -> Column:
+    """A number rounded to half precision, ties to even: Spark has no half type."""
+    size = F.abs(x)
+    step = F.pow(F.lit(2.0), F.greatest(F.floor(F.log2(size)), F.lit(-14)) - 10)
+    return F.when(size == 0, F.lit(0.0)).when(size >= 65_520, F.signum(x) * F.lit(float("inf"))).otherwise(F.bround(x / step) * step)
+
+
+def _blocks(values: Column, block: int, one) -> Column:
+    starts = F.when(F.size(values) > 0, F.sequence(F.lit(0), F.floor((F.size(values) - 1) / block).cast("int"))).otherwise(F.array().cast("array<int>"))
+    return F.when(values.isNotNull(), F.flatten(F.transform(starts, lambda k: one(F.slice(values, k * block + 1, block)))))
+
+
+def _signed_most(part: Column) -> Column:
+    """The element of largest size, the first of them."""
+    size = F.transform(part, lambda x: F.abs(x))
+    return F.element_at(part, F.array_position(size, F.array_max(size)).cast("int"))
+
+
 def lattice(values: Column, block: int = BLOCK) -> Column:
-    """The array after four-bit block quantisation and back.
+    """The array after four-bit block quantisation and back; null stays null, empty stays empty.
 
     Per block: the scale is its element of largest size (the first of them), with its sign, divided by -8; codes are
     floor(x / scale + 8.5), 15 at most. The scale stays a double here; a half-precision scale is lattice_half.
     """
-    starts = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / block).cast("int"))
 
-    def one(k: Column) -> Column:
-        part = F.transform(F.slice(values, k * block + 1, block), lambda x: x.cast("double"))
-        size = F.transform(part, lambda x: F.abs(x))
-        scale = F.element_at(part, F.array_position(size, F.array_max(size)).cast("int")) / F.lit(-8.0)
+    def one(part: Column) -> Column:
+        part = F.transform(part, lambda x: x.cast("double"))
+        scale = _signed_most(part) / F.lit(-8.0)
         named = F.transform(F.array(F.struct(part.alias("part"), scale.alias("scale"))), lambda b: F.transform(b["part"], lambda x: F.when(b["scale"] == 0, 0.0).otherwise((F.least(F.lit(15), F.floor(x / b["scale"] + F.lit(8.5)).cast("int")) - 8) * b["scale"])))
         return F.get(named, F.lit(0))
 
-    return F.flatten(F.transform(starts, one))
+    return _blocks(values, block, one)
 
 
 def errors(values: Column, rounded: Column) -> tuple[Column, Column]:
@@ -34,23 +48,29 @@ def errors(values: Column, rounded: Column) -> tuple[Column, Column]:
     return F.array_max(gaps), F.aggregate(gaps, F.lit(0.0), lambda s, x: s + x) / F.size(gaps)
 
 
-def lattice_half(block: int = BLOCK):
-    """lattice with half-precision scales, as a vectorised function: Spark has no half type."""
-    @F.pandas_udf("array<float>")
-    def quantise(column: pd.Series) -> pd.Series:
-        def one(x):
-            parts = np.asarray(x, np.float32)
-            padded = np.zeros(-(-len(parts) // block) * block, np.float32)
-            padded[: len(parts)] = parts
-            rows = padded.reshape(-1, block)
-            scale = rows[np.arange(len(rows)), np.abs(rows).argmax(1)] / np.float32(-8)
-            inverse = np.divide(1, scale, out=np.zeros_like(scale), where=scale != 0)
-            codes = np.minimum(15, np.floor(rows * inverse[:, None] + np.float32(8.5)))
-            return ((codes - 8) * scale.astype(np.float16).astype(np.float32)[:, None]).reshape(-1)[: len(parts)]
+def lattice_half(values: Column, block: int = BLOCK) -> Column:
+    """lattice in single precision, with codes from the single-precision scale and values from the half-precision one."""
+
+    def one(part: Column) -> Column:
+        part = F.transform(part, lambda x: x.cast("float"))
+        scale = (_signed_most(part) / F.lit(-8.0)).cast("float")
+        inverse = F.when(scale == 0, F.lit(0.0)).otherwise(F.lit(1.0) / scale).cast("float")
+        stored = half(scale.cast("double")).cast("float")
+        code = lambda x, b: F.least(F.lit(15.0), F.floor(x * b["inverse"] + F.lit(8.5).cast("float")).cast("double")) - F.lit(8.0)
+        named = F.transform(F.array(F.struct(part.alias("part"), inverse.alias("inverse"), stored.alias("stored"))), lambda b: F.transform(b["part"], lambda x: (code(x, b).cast("float") * b["stored"])))
+        return F.get(named, F.lit(0))
+
+    return _blocks(values, block, one)
 
-        return column.map(one)
 
-    return quantise
+def counter_range(rows: DataFrame, name: str, values: str) -> DataFrame:
+    """One row over tensors of counts: count_min and count_max over the finite ones, n_nonfinite, n_zero (least count
+    not above 0). A tensor without values is left out."""
+    per = rows.filter(F.size(values) > 0).select(name, F.array_min(values).cast("double").alias("least"), F.array_max(values).cast("double").alias("most"))
+    odd = lambda c: F.isnan(c) | F.col(c).isin(float("inf"), float("-inf"))
+    marked = per.withColumn("nonfinite", odd("least") | odd("most"))
+    fine = ~F.col("nonfinite")
+    return marked.agg(F.min(F.when(fine, F.col("least"))).alias("count_min"), F.max(F.when(fine, F.col("most"))).alias("count_max"), F.count_if("nonfinite").alias("n_nonfinite"), F.count_if(fine & (F.col("least") <= 0)).alias("n_zero"))
 
 
 def patch_control_tokens(tokens: Column, controls: list[str]) -> Column:

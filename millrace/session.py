@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -31,6 +33,8 @@ def get_spark(app: str = "millrace", cores: int | None = None, **conf: str) -> S
 
 
 _shipped: set[str] = set()
+_local: dict[str, str] = {}
+_kept: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
@@ -48,6 +52,45 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(context.applicationId)
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that the driver and all executors share: spark.checkpoint.dir. Where that is unset, a local master gets
+    a temporary folder; elsewhere it is an error, since every executor would write to a disk of its own."""
+    context = spark.sparkContext
+    folder = context.getConf().get("spark.checkpoint.dir", None)
+    if folder:
+        return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+    if context.applicationId not in _local:
+        _local[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="millrace-")
+    return _local[context.applicationId]
+
+
+def work_dir(spark: SparkSession) -> str:
+    """The application's own folder below the shared one; it goes when the driver's JVM ends."""
+    folder = f"{shared_dir(spark)}/millrace-{spark.sparkContext.applicationId}"
+    if folder not in _kept:
+        ship(spark)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+        _kept.add(folder)
+    return folder
+
+
+def work_path(spark: SparkSession, name: str) -> str:
+    """A new path below the application's folder."""
+    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the Parquet tables of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(rows):
+    """Rows that come from a few files dealt to all cores, so that texts in few row groups are worked on in parallel;
+    larger inputs as they are."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < 2 * cores else rows

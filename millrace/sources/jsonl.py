@@ -38,6 +38,11 @@ def parse(lines: DataFrame, *, mode: str = "strict") -> DataFrame:
     return lines.withColumn("value", F.coalesce(F.try_parse_json("line"), F.raise_error(place)))
 
 
+def malformed(lines: DataFrame) -> DataFrame:
+    """(file, line, reason) of the lines that are no JSON; line counts from 1."""
+    return lines.filter(F.try_parse_json("line").isNull()).select("file", (F.col("row_index") + 1).alias("line"), F.lit("malformed JSON").alias("reason"))
+
+
 def _text(value: Column, path: str) -> Column:
     """A scalar under a path as a string; null for lists and objects."""
     kind = F.schema_of_variant(F.try_variant_get(value, path, "variant"))
@@ -83,7 +88,10 @@ def chat_rows(lines: DataFrame, key: str, *, ids: tuple[str, ...] = ("source_id"
 
 
 def read_document(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON document a file: (file, value)."""
+    """One JSON document a file: (file, value). Where no file fits the path, one row with an empty object."""
+    there = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not there.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(there):
+        return spark.range(1).select(F.lit(path).alias("file"), F.parse_json(F.lit("{}")).alias("value"))
     return spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.try_parse_json("value").alias("value"))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -18,6 +18,11 @@ def listing(spark: SparkSession, folder: str, *, ignored_suffixes: tuple[str, ..
     return files.filter(~skipped).select(*columns)
 
 
+def in_order(files: DataFrame, path: str = "path") -> DataFrame:
+    """Files with their place (from 1) in the order of their paths; one row a file, so that one task sorts them."""
+    return files.withColumn("place", F.row_number().over(Window.orderBy(path)).cast("long"))
+
+
 def totals(files: DataFrame) -> DataFrame:
     return files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes"))
 
@@ -68,6 +73,26 @@ def provenance(files: DataFrame, stage: str) -> DataFrame:
     return files.select(F.lit(stage).alias("stage"), "path", "size", "sha256")
 
 
+#: Names of draft heads, and of the layers that share keys and values with lower ones.
+DRAFT = r"(?i)(?:^|[._])(?:mtp|draft|nextn)(?:[._]|$)"
+SHARED = {
+    "module": r"\.layers\.(1[5-9]|2[0-9]|3[0-4])\.self_attn\.(k_proj|v_proj)(?:\.linear)?$",
+    "adapter": r"\.layers\.(1[5-9]|2[0-9]|3[0-4])\.self_attn\.(k_proj|v_proj)",
+    "state": r"\.layers\.(1[5-9]|2[0-9]|3[0-4])\..*\.(k_proj|v_proj|k_norm)\.",
+    "key": r"\.layers\.(1[5-9]|2[0-9]|3[0-4])\.self_attn\.(k_proj|v_proj|k_norm)(?:\.|$)",
+}
+
+
+def draft_names(names: DataFrame, name: str) -> DataFrame:
+    """The names of a model's draft heads."""
+    return names.filter(F.col(name).rlike(DRAFT))
+
+
+def shared_kinds(name: Column) -> Column:
+    """As what a name belongs to a layer that shares keys and values: module, adapter, state, key; sorted."""
+    return F.array_sort(F.array_compact(F.array(*[F.when(name.rlike(p), F.lit(kind)) for kind, p in SHARED.items()])))
+
+
 def name_leaks(names: DataFrame, name: str, prefixes: tuple[str, ...] = ("v.", "a.", "audio.", "vision."), parts: tuple[str, ...] = ("mmproj",)) -> DataFrame:
     """The names of parts that a text-only model must not have."""
     leaks = F.lit(False)

@@ -2,13 +2,37 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def write_jsonl(rows: DataFrame, path: str, mode: str = "error") -> None:
-    """One object a line."""
-    rows.write.mode(mode).json(path)
+def write_jsonl(rows: DataFrame, path: str, mode: str = "error", by: str | None = None) -> None:
+    """One object a line; in a folder a value of a column, if one is given."""
+    writer = rows.write.mode(mode)
+    (writer.partitionBy(by) if by else writer).json(path)
+
+
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    """A small file, whole or not at all: written beside its place and renamed over what is there."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    place, beside = fs.Path(path), fs.Path(path + ".tmp")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place.getParent())
+    stream = files.create(beside, True)
+    try:
+        stream.write(bytearray(content))
+    finally:
+        stream.close()
+    over = spark.sparkContext._gateway.new_array(getattr(spark._jvm, "org.apache.hadoop.fs.Options$Rename"), 1)
+    over[0] = getattr(spark._jvm, "org.apache.hadoop.fs.Options$Rename").OVERWRITE
+    fs.FileContext.getFileContext(place.toUri(), spark._jsc.hadoopConfiguration()).rename(beside, place, over)
+
+
+def write_document(spark: SparkSession, path: str, value: object) -> None:
+    """One JSON document with sorted keys, whole or not at all."""
+    write_bytes(spark, path, (json.dumps(value, indent=2, sort_keys=True, ensure_ascii=False) + "\n").encode())
 
 
 def write_arrays(rows: DataFrame, path: str, column: str = "messages", order: str | None = None, mode: str = "error") -> None:
