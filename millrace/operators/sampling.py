@@ -1,9 +1,9 @@
 """Seeded order, splits, samples, mixtures and token floors.
 
-Order comes from SHA-256 over seed and key, so that it depends on neither partitions nor engine. Samples of n a group
-rank inside the group, where Spark cuts each group before the shuffle. The floors (round robin, interleave) need one
-running sum in an order over all rows. It is taken in two steps: sums of coarse ranges of that order, added up over the
-ranges, and a window inside each range; no task sees all rows. Only the table of ranges goes through one task.
+Order comes from SHA-256 over seed and key, so that it depends on neither partitions nor engine. Places in an order, of
+all rows or inside a group, are taken in two steps: counts of the order's ranges, added up over the ranges, and a window
+inside each range; so no task sorts all rows, or all of a frequent group. Where only the first rows of a group are
+wanted, ranges behind them are dropped before any row is sorted. Only the tables of ranges go through one task a group.
 """
 
 from __future__ import annotations
@@ -34,9 +34,17 @@ def shuffled(rows: DataFrame, seed: int, *parts: str) -> DataFrame:
     return running(rows, F.substring(key, 1, 3), [key], F.lit(1), "before").withColumn("place", F.col("before") + 1).drop("before")
 
 
-def ranked_within(rows: DataFrame, group: str, seed: int | Column, *parts: str) -> DataFrame:
-    """Rows with their place (from 1) in the seeded order of their group."""
-    return rows.withColumn("place", F.row_number().over(Window.partitionBy(group).orderBy(order_key(seed, *parts))))
+def ranked_within(rows: DataFrame, group: str, seed: int | Column, *parts: str, most: Column | None = None) -> DataFrame:
+    """Rows with their place (from 1) in the seeded order of their group; with most, at most so many of each group."""
+    keyed = rows.withColumn("__key", order_key(seed, *parts)).withColumn("__range", F.substring("__key", 1, 3))
+    before = Window.partitionBy("__g").orderBy("__r").rowsBetween(Window.unboundedPreceding, -1)
+    counts = keyed.groupBy(F.col(group).alias("__g"), F.col("__range").alias("__r")).agg(F.count(F.lit(1)).alias("__n"))
+    counts = counts.select("__g", "__r", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    joined = keyed.join(counts, F.col(group).eqNullSafe(F.col("__g")) & (F.col("__range") == F.col("__r")))
+    joined = joined if most is None else joined.filter(F.col("__before") < most)
+    placed = joined.withColumn("place", F.col("__before") + F.row_number().over(Window.partitionBy(group, "__range").orderBy("__key")))
+    placed = placed if most is None else placed.filter(F.col("place") <= most)
+    return placed.drop("__key", "__range", "__g", "__r", "__before")
 
 
 def test_size(count: Column, fraction: float) -> Column:
@@ -53,7 +61,7 @@ def split(rows: DataFrame, group: str, fraction: float, seed: int, *parts: str)
 
 def balanced(rows: DataFrame, group: str, per_group: int, seed: int, *parts: str) -> DataFrame:
     """per_group rows of each group."""
-    return ranked_within(rows, group, seed, *parts).filter(F.col("place") <= per_group)
+    return ranked_within(rows, group, seed, *parts, most=F.lit(per_group))
 
 
 def mix_buckets(language: Column, source: Column, general: str, fallback: bool = True) -> Column:
@@ -64,9 +72,9 @@ def mix_buckets(language: Column, source: Column, general: str, fallback: bool =
 
 def mixture(pool: DataFrame, base_count: DataFrame, shares: DataFrame, seed: int, *parts: str) -> DataFrame:
     """Rows of each pool up to round(base * share). base_count: one row, base. shares: pool, share."""
-    ranked = ranked_within(pool, "pool", seed, *parts)
     targets = shares.crossJoin(base_count).select(F.col("pool").alias("__pool"), F.bround(F.col("base") * F.col("share")).cast("long").alias("target"))
-    return ranked.join(targets, F.col("pool") == F.col("__pool")).filter("place <= target").drop("__pool")
+    wanted = pool.join(targets, F.col("pool") == F.col("__pool")).drop("__pool")
+    return ranked_within(wanted, "pool", seed, *parts, most=F.col("target"))
 
 
 def evaluation_caps(n_english: Column, n_swahili: Column, most: int = 500) -> Column:
@@ -74,11 +82,32 @@ def evaluation_caps(n_english: Column, n_swahili: Column, most: int = 500) -> Co
     return F.least(F.lit(most), F.greatest(F.lit(1), n_english), F.greatest(F.lit(1), F.when(F.coalesce(n_swahili, F.lit(0)) == 0, F.lit(1)).otherwise(n_swahili)))
 
 
+def _turns(rows: DataFrame, group: str, turn: Column) -> Column:
+    """The range of a turn: as many turns a range as make about 4,096 ranges of the largest group's rows, 100 at least."""
+    largest = rows.groupBy(group).count().agg(F.max("count")).first()[0] or 0
+    return F.floor(turn / max(100, largest // 4_096))
+
+
+def by_value(rows: DataFrame, order: str, ranges: int = 256) -> Column:
+    """The number of the range of a row's value, by quantiles of the values: ranges have about as many rows, however
+    the values lie. The order's values are distinct; equal ones share a range."""
+    cuts = rows.agg(F.percentile_approx(order, [k / ranges for k in range(1, ranges)], 10_000)).first()[0] or []
+    cuts = sorted(set(cuts))
+
+    def place(low: int, high: int) -> Column:
+        """A tree of comparisons for the ranges low to high."""
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(F.col(order) <= cuts[middle], place(low, middle)).otherwise(place(middle + 1, high))
+
+    return place(0, len(cuts))
+
+
 def round_robin(rows: DataFrame, bucket: str, tokens: str, target: int, seed: int, *parts: str) -> DataFrame:
     """Rows taken in turns from the buckets until the tokens reach the target; the row that reaches it is the last."""
     ranked = ranked_within(rows, bucket, seed, *parts)
-    # a hundred turns are one range
-    summed = running(ranked, F.floor(F.col("place") / 100), [F.col("place"), F.col(bucket)], F.col(tokens), "tokens_before")
+    summed = running(ranked, _turns(rows, bucket, F.col("place")), [F.col("place"), F.col(bucket)], F.col(tokens), "tokens_before")
     return summed.filter(F.col("tokens_before") < target)
 
 
@@ -91,20 +120,20 @@ def interleave(rows: DataFrame, kind: str, quota: dict[str, int], tokens: str, t
     per = F.create_map(*[x for k, n in quota.items() for x in (F.lit(k), F.lit(n))])
     grouped = ranked.withColumn("group_no", F.floor((F.col("place") - 1) / per[F.col(kind)])).withColumn("counted", F.when(F.col(tokens) >= least, F.col(tokens)).otherwise(0))
     sums = grouped.groupBy("group_no").agg(F.sum("counted").alias("__t"))
-    before = running(sums, F.floor(F.col("group_no") / 1_000), [F.col("group_no")], F.col("__t"), "tokens_before").filter(F.col("tokens_before") < target).drop("__t")
+    before = running(sums, _turns(rows, kind, F.col("group_no")), [F.col("group_no")], F.col("__t"), "tokens_before").filter(F.col("tokens_before") < target).drop("__t")
     return grouped.join(before, "group_no").filter(F.col(tokens) >= least).drop("counted")
 
 
-def chunks(rows: DataFrame, order: str, size: int = 1000, range_width: int = 1 << 16) -> DataFrame:
+def chunks(rows: DataFrame, order: str, size: int = 1000) -> DataFrame:
     """Rows with the number of their chunk of a fixed size, by a numeric order."""
-    placed = running(rows, F.floor(F.col(order) / range_width), [F.col(order)], F.lit(1), "__before")
+    placed = running(rows, by_value(rows, order), [F.col(order)], F.lit(1), "__before")
     return placed.withColumn("chunk_index", F.floor(F.col("__before") / size).cast("long")).drop("__before")
 
 
-def head_holdout(rows: DataFrame, order: str, fraction: float = 0.1, range_width: int = 1 << 16) -> DataFrame:
+def head_holdout(rows: DataFrame, order: str, fraction: float = 0.1) -> DataFrame:
     """Rows with is_test for the first part by a numeric order, unshuffled."""
     total = rows.agg(F.count(F.lit(1)).alias("__n"))
-    placed = running(rows, F.floor(F.col(order) / range_width), [F.col(order)], F.lit(1), "__before").crossJoin(F.broadcast(total))
+    placed = running(rows, by_value(rows, order), [F.col(order)], F.lit(1), "__before").crossJoin(F.broadcast(total))
     return placed.withColumn("is_test", F.col("__before") < test_size(F.col("__n"), fraction)).drop("__before", "__n")
 
 
@@ -139,5 +168,5 @@ def training_set(pools: DataFrame, shares: DataFrame, *, base: str, fractions: d
     if not legacy:
         return mixed.unionByName(test)
     unsplit = mixed.filter(~F.col("pool").isin(*fractions)) if fractions else mixed
-    leaked = unsplit.withColumn("__k", F.row_number().over(Window.partitionBy("pool").orderBy(order_key(seed + 7, "pool", key)))).filter(F.col("__k") <= 250).select(*pools.columns, F.lit("heldout").alias("part"))
+    leaked = ranked_within(unsplit, "pool", seed + 7, "pool", key, most=F.lit(legacy_heldout)).select(*pools.columns, F.lit("heldout").alias("part"))
     return mixed.unionByName(test).unionByName(leaked)

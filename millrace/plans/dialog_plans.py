@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import dialog
+from millrace.operators import dialog, reports
 from millrace.plans.registry import registry
 from millrace.session import table
 
@@ -134,16 +134,27 @@ def preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.select("conv_id", *[F.sha1(first(c)["content"]).alias(c) for c in ("prompt", "chosen", "rejected")], F.concat_ws(",", *[first(c)["role"] for c in ("prompt", "chosen", "rejected")]).alias("roles"))
 
 
-@query(f"""SELECT reason, CAST(count(*) AS BIGINT) AS n FROM (SELECT CASE WHEN chosen = rejected THEN 'identical' WHEN length(prompt) > 900 THEN 'prompt too long' WHEN length(chosen) > 900 THEN 'chosen too long' WHEN length(rejected) > 900 THEN 'rejected too long' WHEN length(prompt) + greatest(length(chosen), length(rejected)) > 1200 THEN 'pair too long' ELSE 'kept' END AS reason FROM {_PAIR_SQL}) GROUP BY reason""")
+_WORDS = "len(string_split({}, ' '))"
+
+
+@query(
+    f"""WITH p AS (SELECT a.conv_id, a.turn, a.text AS prompt, CASE WHEN a.conv_id % 5 = 4 THEN ' ' ELSE b.text END AS chosen, c.text AS rejected FROM conversations a LEFT JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1 AND b.role = 'assistant' LEFT JOIN conversations c ON a.conv_id = c.conv_id AND c.turn = a.turn + 3 AND c.role = 'assistant' WHERE a.role = 'user'),
+ n AS (SELECT *, {_WORDS.format('prompt')} AS np, greatest({_WORDS.format('chosen')}, {_WORDS.format('rejected')}) AS nl FROM p)
+ SELECT outcome, CAST(count(*) AS BIGINT) AS n FROM (SELECT CASE WHEN chosen IS NULL OR rejected IS NULL THEN 'invalid_row' WHEN conv_id % 13 = 12 THEN 'render_splice_failed' WHEN np > 40 THEN 'prompt_too_long' WHEN nl > 50 THEN 'completion_too_long' WHEN np + nl > 70 THEN 'too_long' WHEN trim(chosen) = '' OR trim(rejected) = '' THEN 'empty_completion' ELSE 'kept' END AS outcome FROM n) GROUP BY outcome"""
+)
 def pair_gate_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pairs = dialog.preference_pairs(_pairs(spark, sf_dir))
-    text = lambda c: F.get(c, F.lit(0))["content"]
-    n = {c: F.length(text(c)) for c in ("prompt", "chosen", "rejected")}
-    reason = F.when(text("chosen") == text("rejected"), "identical")
-    for c in n:
-        reason = reason.when(n[c] > 900, f"{c} too long")
-    reason = reason.when(n["prompt"] + F.greatest(n["chosen"], n["rejected"]) > 1200, "pair too long").otherwise("kept")
-    return pairs.groupBy(reason.alias("reason")).agg(F.count(F.lit(1)).alias("n"))
+    """Each question with its answer and the next one, words as tokens; some renderings don't splice, some are empty."""
+    turns = table(spark, sf_dir, "conversations")
+    shift = lambda name, by: turns.filter("role = 'assistant'").select("conv_id", (F.col("turn") - by).alias("turn"), F.col("text").alias(name))
+    rows = turns.filter("role = 'user'").join(shift("chosen", 1), ["conv_id", "turn"], "left").join(shift("rejected", 3), ["conv_id", "turn"], "left")
+    whole = F.concat(F.lit("<user>"), "text", F.lit("<model>"))
+    prompt = F.when(F.col("conv_id") % 13 == 12, F.lit("other")).otherwise(whole)
+    chosen = F.when(F.col("conv_id") % 5 == 4, F.when(F.col("chosen").isNotNull(), " ")).otherwise(F.col("chosen"))
+    rows = rows.withColumn("chosen", chosen)
+    spliced = lambda c: dialog.splice(F.concat(whole, c), prompt)
+    words = lambda c: F.size(F.split(c, " "))
+    outcome = dialog.pair_gate(F.col("chosen").isNotNull() & F.col("rejected").isNotNull(), prompt, spliced("chosen"), spliced("rejected"), words("text"), words(spliced("chosen")), words(spliced("rejected")), most_prompt=40, most_completion=50, most_total=70)
+    return reports.counts(rows.withColumn("outcome", outcome), "outcome")
 
 
 @query("SELECT conv_id, sha1(substr(w, length(p) + 1)) AS completion FROM (SELECT conv_id, string_agg(concat(role, ':', text, chr(10)), '' ORDER BY turn) AS w, string_agg(concat(role, ':', text, chr(10)), '' ORDER BY turn) FILTER (turn < 2) AS p FROM conversations GROUP BY conv_id)")

@@ -79,12 +79,22 @@ def verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("k", ranking.baseline_verdict(reference).alias("baseline"), ranking.diagnosis(reference, F.col("best")).alias("diagnosis"))
 
 
-@query("""SELECT p_name, arg_min(t, t) AS p_type FROM (SELECT DISTINCT p.p_name, lower(q.p_type) AS t FROM (SELECT DISTINCT p_name FROM part) p LEFT JOIN (SELECT DISTINCT p_type FROM part) q ON p.p_name = lower(q.p_type) OR contains(p.p_name, lower(q.p_type))) GROUP BY p_name""")
+@query("""SELECT p.p_name, (SELECT min(lower(q.p_type)) FROM part q WHERE p.p_name = lower(q.p_type) OR contains(p.p_name, lower(q.p_type))) AS p_type FROM part p""")
 def first_match_theta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part with the first type that its name equals or has; many parts share a name, and each keeps its row."""
     parts = table(spark, sf_dir, "part")
     types = parts.select(F.lower("p_type").alias("p_type")).distinct()
     test = (F.col("p_name") == F.col("p_type")) | F.contains("p_name", F.col("p_type"))
-    return ranking.first_match(parts.select("p_name").distinct(), types, test, left_keys=["p_name"], order=["p_type"])
+    return ranking.first_match(parts.select("p_name"), types, test, order=["p_type"])
+
+
+@query(f"WITH c AS {_CANDIDATES}, r AS (SELECT name, row_number() OVER (ORDER BY hidden_mean DESC, name) AS place FROM c UNION ALL SELECT 'unknown', 0) SELECT r.name, place, size, peak_rss_kb FROM r LEFT JOIN (SELECT * FROM c WHERE role <> 'control') k ON r.name = k.name")
+def ranked_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A ranking with figures of the candidates; controls and an unknown name have none."""
+    rows = candidates(spark, sf_dir)
+    ranks = ranking.ranked(rows, F.col("hidden_mean").desc(), F.col("name")).select("name", F.col("place").cast("long").alias("place"))
+    ranks = ranks.unionByName(spark.range(1).select(F.lit("unknown").alias("name"), F.col("id").alias("place")))
+    return ranking.enriched(ranks, rows.filter("role <> 'control'"), "name", ["size", "peak_rss_kb"])
 
 
 @query("SELECT p_type, p_brand, CAST(n AS BIGINT) AS n, CAST(total AS BIGINT) AS total, n >= total * 0.05 AS dominant FROM (SELECT p_type, p_brand, count(*) AS n, sum(count(*)) OVER (PARTITION BY p_type) AS total, row_number() OVER (PARTITION BY p_type ORDER BY count(*) DESC, p_brand DESC) AS k FROM part GROUP BY p_type, p_brand) WHERE k = 1")
@@ -156,11 +166,30 @@ def lattice_quant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded.select("vec_id", F.bround(most, 6).alias("max_error"), F.bround(mean, 6).alias("mean_error"))
 
 
-@query(None)
+_HALF = "CASE WHEN s = 0 THEN 0.0 ELSE round_even(s / step, 0) * step END"
+
+
+@query(
+    f"""WITH e AS (SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS i, unnest(embedding)::FLOAT AS x FROM embeddings), b AS (SELECT vec_id, i // 32 AS k, (arg_max(x, abs(x)) / CAST(-8.0 AS FLOAT))::FLOAT AS d FROM (SELECT * FROM e ORDER BY vec_id, i) GROUP BY vec_id, k),
+h AS (SELECT vec_id, k, d, CAST(CASE WHEN d = 0 THEN 0 ELSE 1.0::DOUBLE / d::DOUBLE END AS FLOAT) AS inverse, CAST({_HALF} AS FLOAT) AS stored FROM (SELECT *, d::DOUBLE AS s, CASE WHEN d = 0 THEN 1.0 ELSE pow(2.0, greatest(floor(log2(abs(d::DOUBLE))), -14.0) - 10) END AS step FROM b)),
+q AS (SELECT e.vec_id, x, CAST(CAST(least(15.0, floor(CAST(CAST(x * inverse AS FLOAT) + CAST(8.5 AS FLOAT) AS FLOAT))) - 8 AS FLOAT) * stored AS FLOAT) AS y FROM e JOIN h ON e.vec_id = h.vec_id AND e.i // 32 = h.k)
+SELECT vec_id, round_even(max(abs(x::DOUBLE - y::DOUBLE)), 6)::DOUBLE AS max_error, round_even(avg(abs(x::DOUBLE - y::DOUBLE)), 6)::DOUBLE AS mean_error FROM q GROUP BY vec_id"""
+)
 def lattice_half(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rounded = table(spark, sf_dir, "embeddings").withColumn("rounded", tensors.lattice_half()("embedding"))
+    rounded = table(spark, sf_dir, "embeddings").withColumn("rounded", F.transform(tensors.lattice_half(F.col("embedding")), lambda x: x.cast("double")))
     most, mean = tensors.errors(F.col("embedding"), F.col("rounded"))
-    return rounded.select("vec_id", F.bround(most, 4).alias("max_error"), F.bround(mean, 4).alias("mean_error"))
+    return rounded.select("vec_id", F.bround(most, 6).alias("max_error"), F.bround(mean, 6).alias("mean_error"))
+
+
+@query(
+    """WITH t AS (SELECT p_brand, list(CASE WHEN p_partkey % 97 = 0 AND p_brand LIKE '%1' THEN 'inf'::DOUBLE WHEN p_brand LIKE '%2' THEN p_size - 1 ELSE p_size END::DOUBLE) AS counts FROM part GROUP BY p_brand), m AS (SELECT list_min(counts) AS least, list_max(counts) AS most FROM t), k AS (SELECT *, isinf(least) OR isinf(most) OR isnan(least) OR isnan(most) AS odd FROM m)
+ SELECT min(least) FILTER (NOT odd) AS count_min, max(most) FILTER (NOT odd) AS count_max, CAST(count(*) FILTER (odd) AS BIGINT) AS n_nonfinite, CAST(count(*) FILTER (NOT odd AND least <= 0) AS BIGINT) AS n_zero FROM k"""
+)
+def counter_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands as tensors of counts: some hold an infinity, some a zero."""
+    brand, size = F.col("p_brand"), F.col("p_size").cast("double")
+    value = F.when((F.col("p_partkey") % 97 == 0) & brand.endswith("1"), F.lit(float("inf"))).when(brand.endswith("2"), size - 1).otherwise(size)
+    return tensors.counter_range(table(spark, sf_dir, "part").groupBy("p_brand").agg(F.collect_list(value).alias("counts")), "p_brand", "counts")
 
 
 @query("SELECT CAST(s_suppkey AS BIGINT) AS s_suppkey, concat(s_nationkey, ':<a>:', 'true,', s_nationkey + 1, ':b:', CASE WHEN s_suppkey % 2 = 0 THEN 'true' ELSE 'false' END) AS tokens, CAST(s_nationkey AS VARCHAR) AS end_ids, CASE WHEN s_suppkey % 3 = 0 THEN s_nationkey END AS block FROM supplier")

@@ -9,7 +9,7 @@ from millrace.functions import text as tx
 from millrace.operators import dedup, incremental, reports
 from millrace.plans.registry import registry
 from millrace.plans.text_plans import _SCORE_SQL, NORM, scored_documents
-from millrace.session import table
+from millrace.session import spread, table
 from millrace.sources import manifest
 
 QUERIES, ORACLES, query = registry()
@@ -76,7 +76,7 @@ def fraction_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY substr({NORM}, 1, 2000) ORDER BY doc_id) AS k FROM documents) WHERE k = 1")
 def row_key_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = _docs(spark, sf_dir).select("doc_id", "lang", tx.row_key(F.col("text"), F.lit("")).alias("key"))
+    keyed = spread(_docs(spark, sf_dir).select("doc_id", "lang", "text")).select("doc_id", "lang", tx.row_key(F.col("text"), F.lit("")).alias("key"))
     return dedup.first_wins(keyed, ["key"], ["doc_id"]).select("doc_id", "lang")
 
 
@@ -90,7 +90,7 @@ def duplicate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT doc_id, part FROM k WHERE part = 'eval' AND key NOT IN (SELECT key FROM k WHERE part = 'train') UNION ALL SELECT doc_id, part FROM k WHERE part = 'held' AND key NOT IN (SELECT key FROM k WHERE part <> 'held')""")
 def leakage_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = F.when(F.col("doc_id") % 10 == 0, "held").when(F.col("doc_id") % 10 < 3, "eval").otherwise("train")
-    keyed = _docs(spark, sf_dir).select("doc_id", tx.row_key(F.col("text"), F.lit("")).alias("key"), part.alias("part"))
+    keyed = spread(_docs(spark, sf_dir).select("doc_id", "lang", "source", "text")).select("doc_id", tx.row_key(F.col("text"), F.lit("")).alias("key"), part.alias("part"))
     train, evaluation, held = (keyed.filter(F.col("part") == p) for p in ("train", "eval", "held"))
     clean = dedup.without(evaluation, train, on=["key"]).unionByName(dedup.without(held, train, evaluation, on=["key"]))
     return clean.select("doc_id", "part")
@@ -227,3 +227,31 @@ def name_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_size") % 4
     names = table(spark, sf_dir, "part").select(F.concat(F.when(k == 0, "v.").when(k == 1, "blk.").when(k == 2, "x.MMproj.").otherwise("vision"), "p_partkey").alias("name"))
     return manifest.name_leaks(names, "name")
+
+
+_TENSORS = ("blk.0.nextn.eh_proj", "mtp.layers.0.w", "blk.1.DRAFT_head.w", "model.draft.x", "drafts.w", "xmtp.w", "model.layers.15.self_attn.k_proj", "model.layers.34.self_attn.v_proj.linear", "m.layers.20.self_attn.k_norm.weight", "m.layers.14.self_attn.k_proj", "m.layers.35.self_attn.v_proj", "m.layers.22.self_attn.q_proj", "m.layers.29.self_attn.v_proj.lora_A.weight", "m.layers.30.self_attn.k_norm")
+
+
+def _pick(key: str) -> str:
+    return f"CASE ({key}) % {len(_TENSORS)} " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in enumerate(_TENSORS)) + " END"
+
+
+def _named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").select("p_partkey", F.expr(_pick("p_partkey")).alias("name"))
+
+
+@query(f"SELECT p_partkey, name FROM (SELECT p_partkey, {_pick('p_partkey')} AS name FROM part) WHERE len(list_intersect(string_split_regex(lower(name), '[._]'), ['mtp', 'draft', 'nextn'])) > 0")
+def draft_heads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.draft_names(_named(spark, sf_dir), "name")
+
+
+_LAYER = "regexp_extract(name, '\\.layers\\.([0-9]+)\\.', 1)"
+
+
+@query(
+    f"""WITH n AS (SELECT p_partkey, {_pick('p_partkey')} AS name FROM part), l AS (SELECT *, coalesce(try_cast({_LAYER} AS INTEGER) BETWEEN 15 AND 34, false) AS low, string_split(name, '.') AS parts FROM n),
+ k AS (SELECT *, len(list_filter(range(1, len(parts)), lambda i: parts[i] = 'self_attn' AND parts[i + 1] IN ('k_proj', 'v_proj'))) > 0 AS kv, contains(name, 'self_attn.k_norm') AS norm, parts[-1] AS last FROM l)
+ SELECT p_partkey, array_to_string(list_filter([CASE WHEN low AND kv THEN 'adapter' END, CASE WHEN low AND (kv OR norm) THEN 'key' END, CASE WHEN low AND kv AND (last IN ('k_proj', 'v_proj') OR (last = 'linear' AND parts[-2] IN ('k_proj', 'v_proj'))) THEN 'module' END, CASE WHEN low AND (kv OR norm) AND last NOT IN ('k_proj', 'v_proj', 'k_norm') THEN 'state' END], lambda x: x IS NOT NULL), ',') AS kinds FROM k"""
+)
+def shared_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _named(spark, sf_dir).select("p_partkey", F.array_join(manifest.shared_kinds(F.col("name")), ",").alias("kinds"))

@@ -42,8 +42,8 @@ _BUCKET = "CASE WHEN source = 'src3' THEN 'general' WHEN lang = 'fr' THEN 'swahi
 def mixcal(spark: SparkSession, sf_dir: str) -> DataFrame:
     tongue = F.when(F.col("lang") == "fr", "swahili").when(F.col("lang") == "en", "english").otherwise(F.col("lang"))
     rows = _docs(spark, sf_dir).withColumn("bucket", sampling.mix_buckets(tongue, F.col("source"), "src3"))
-    ranked = sampling.ranked_within(rows, "bucket", 3, "source", "doc_id")
-    return ranked.filter(F.col("place") <= F.when(F.col("bucket") == "general", 10).otherwise(30)).select("doc_id", "bucket")
+    most = F.when(F.col("bucket") == "general", 10).otherwise(30)
+    return sampling.ranked_within(rows, "bucket", 3, "source", "doc_id", most=most).select("doc_id", "bucket")
 
 
 _SHARES = (("es", 0.25), ("fr", 0.125), ("de", 0.0625))

@@ -25,7 +25,7 @@ _TRIM = r"regexp_replace(text, '^\s+|\s+$', '', 'g')"
 _ENDS = f"""(SELECT c.conv_id, arg_min({_TRIM}, turn) FILTER (role = 'user') AS u, arg_min({_TRIM}, turn) FILTER (role = 'assistant') AS a FROM conversations c GROUP BY c.conv_id)"""
 _TURNS = f"""(SELECT conv_id, turn, role, {_TRIM} AS content FROM conversations WHERE role IN ('user', 'assistant') AND trim(text) <> '')"""
 #: What a line of each layout holds, as turns: layouts 3 and 4 have the first question and answer only.
-_LAYOUTS = f"""(SELECT * FROM {_TURNS} WHERE conv_id % 6 NOT IN (3, 4) UNION ALL SELECT conv_id, 0, 'user', u FROM {_ENDS} WHERE conv_id % 6 IN (3, 4) UNION ALL SELECT conv_id, 1, 'assistant', a FROM {_ENDS} WHERE conv_id % 6 IN (3, 4))"""
+_LAYOUTS = f"""(SELECT * FROM {_TURNS} WHERE conv_id % 6 NOT IN (3, 4) UNION ALL SELECT conv_id, 0, 'user', u FROM {_ENDS} WHERE conv_id % 6 IN (3, 4) AND u <> '' AND a <> '' UNION ALL SELECT conv_id, 1, 'assistant', a FROM {_ENDS} WHERE conv_id % 6 IN (3, 4) AND u <> '' AND a <> '')"""
 
 
 def _layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +89,7 @@ def jsonl_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jsonl.malformed(_torn(spark, sf_dir)).select(_part().alias("part"), "line", "reason")
 
 
-@query(f"SELECT conv_id, CAST(count(*) AS BIGINT) AS n, sha1(string_agg(concat(role, ':', content), chr(10) ORDER BY turn)) AS digest FROM {_LAYOUTS} GROUP BY conv_id")
+@query(f"SELECT c.conv_id, CAST(count(role) AS BIGINT) AS n, sha1(coalesce(string_agg(concat(role, ':', content), chr(10) ORDER BY turn), '')) AS digest FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN {_LAYOUTS} l ON c.conv_id = l.conv_id GROUP BY c.conv_id")
 def message_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every layout as messages."""
     lines = _layouts(spark, sf_dir)

@@ -83,7 +83,8 @@ def test_first_reason_order(spark):
     df = spark.createDataFrame([("", "x", "", ""), ("a", "a", "", ""), ("q", "mtandaoni mulch", "", ""), ("q", "the mulch", "", ""), ("q", "Premix: x", "", ""), ("q", "use 4 g", "5 kg", ""), ("q", "fine", "fine", "fine"), ("q", "x" * 300, "", "fine")], "u string, a string, su string, sa string")
     reason = rules.first_reason(*[F.col(c) for c in ("u", "a", "su", "sa")])
     found = [r.r for r in df.select(reason.alias("r")).collect()]
-    assert [x and x.split(":")[0] for x in found] == ["empty translated user turn", "user and assistant translations are identical", "forbidden phrases", "untranslated terms", "foreign headings", "missing numerals", None, "assistant translation too long"]
+    assert found[-1] == "assistant translation too long: 300 chars > 263 chars"
+    assert [x and x.split(":")[0] for x in found] == ["empty translated user turn", "user and assistant translations are identical", "QC forbidden Swahili phrases", "QC untranslated English terms", "QC English headings", "missing numerals from English", None, "assistant translation too long"]
 
 
 def test_language_tie_passes_both(spark):

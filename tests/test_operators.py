@@ -2,7 +2,10 @@
 
 import json
 
+import numpy as np
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from millrace.operators import dedup, dialog, incremental, ranking, reports, sampling, tensors
@@ -135,6 +138,70 @@ def test_lattice_bounds(spark):
     assert most[1] == 0 and 0 < most[0] <= 43 / 8
 
 
+def single_precision(values, block=32):
+    """The quantiser in numpy."""
+    out = []
+    for k in range(0, len(values), block):
+        x = np.array(values[k : k + block], np.float32)
+        scale = x[np.abs(x).argmax()] / np.float32(-8)
+        inverse = np.float32(1) / scale if scale else np.float32(0)
+        codes = np.minimum(15, np.floor(x * inverse + np.float32(8.5))) - 8
+        out += (codes.astype(np.float32) * np.float32(np.float16(scale))).tolist()
+    return out
+
+
+def test_lattice_half_against_numpy(spark):
+    rng = np.random.default_rng(6)
+    rows = [rng.normal(0, 10.0**k, n).astype(np.float32).tolist() for k in range(-8, 4) for n in (1, 31, 32, 70)] + [[0.0] * 40, [], [-1.0, 1.0], [3e-7, 1e-8]]
+    df = spark.createDataFrame([(k, v) for k, v in enumerate([*rows, None])], "k int, v array<float>")
+    found = {r.k: r.y for r in df.select("k", tensors.lattice_half(F.col("v")).alias("y")).collect()}
+    assert found.pop(len(rows)) is None
+    for k, v in enumerate(rows):
+        assert found[k] == pytest.approx(single_precision(v), rel=1e-6, abs=0), k
+    assert [r.y for r in df.filter(F.size("v") <= 0).select(tensors.lattice(F.col("v")).alias("y")).collect()] == [[]]
+
+
+@given(st.lists(st.floats(-7e4, 7e4, width=32), min_size=1, max_size=40))
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_half(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    with np.errstate(over="ignore"):
+        assert [r.y for r in df.select(tensors.half(F.col("x")).alias("y")).collect()] == [float(np.float16(v)) for v in values]
+
+
+def test_places_of_any_values(spark):
+    """Sparse, dense and single values: chunks and hold-outs follow the order."""
+    for values in ([k * 10**12 for k in range(500)], list(range(700)), [5], []):
+        df = spark.createDataFrame([(v,) for v in values], "v long").repartition(3)
+        found = {r.v: r.chunk_index for r in sampling.chunks(df, "v", 7).collect()}
+        assert found == {v: k // 7 for k, v in enumerate(sorted(values))}
+    ranges = df.sparkSession.createDataFrame([(k * 10**9,) for k in range(2_000)], "v long")
+    per = ranges.groupBy(sampling.by_value(ranges, "v", 16).alias("r")).count().collect()
+    assert len(per) == 16 and max(r["count"] for r in per) < 200
+
+
+def test_samples_sort_only_the_ranges_they_need(spark):
+    df = spark.range(5_000).selectExpr("id", "if(id % 3 = 0, null, 'a') as g")
+    whole = {(r.g, r.id): r.place for r in sampling.ranked_within(df, "g", 3, "id").collect()}
+    few = {(r.g, r.id): r.place for r in sampling.ranked_within(df, "g", 3, "id", most=F.lit(40)).collect()}
+    assert few == {k: p for k, p in whole.items() if p <= 40} and len(few) == 80
+    assert sorted(p for (g, _), p in whole.items() if g is None) == list(range(1, sum(g is None for g, _ in whole) + 1))
+
+
+def test_first_match_keeps_repeated_and_unmatched_rows(spark):
+    left = spark.createDataFrame([("ab", 1), ("ab", 1), ("zz", None)], "n string, k int")
+    right = spark.createDataFrame([("b", 2), ("a", 3)], "p string, v int")
+    found = ranking.first_match(left, right, F.contains("n", F.col("p")), order=["p"])
+    assert sorted(map(tuple, found.collect()), key=str) == [("ab", 1, "a", 3), ("ab", 1, "a", 3), ("zz", None, None, None)]
+
+
+def test_pair_gate_outcomes(spark):
+    rows = [(False, "p", "c", "r", 1, 1, 1), (True, "p", None, "r", 1, 1, 1), (True, "p", "c", "r", 9, 1, 1), (True, "p", "c", "r", 1, 1, 9), (True, "p", "c", "r", 4, 1, 4), (True, "p", " ", "r", 1, 1, 1), (True, "p", "c", "r", 1, 1, 1)]
+    df = spark.createDataFrame(rows, "valid boolean, p string, c string, r string, np int, nc int, nr int")
+    outcome = dialog.pair_gate(*[F.col(c) for c in df.columns], most_prompt=5, most_completion=5, most_total=7)
+    assert [r.o for r in df.select(outcome.alias("o")).collect()] == ["invalid_row", "render_splice_failed", "prompt_too_long", "completion_too_long", "too_long", "empty_completion", "kept"]
+
+
 def test_sinks_and_read_back(spark, tmp_path):
     rows = spark.createDataFrame([(2, turns(("user", "b"), ("assistant", "c"))), (1, turns(("user", "a"), ("assistant", "d")))], f"k int, messages {dialog.TURNS}")
     path = f"file://{tmp_path}/out"

@@ -1,5 +1,6 @@
 """Weight files, catalogues and cards."""
 
+import hashlib
 import json
 import struct
 
@@ -7,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators import dialog, reports
-from millrace.sources import catalog, sinks, tensor_files
+from millrace.sources import catalog, jsonl, sinks, tensor_files
 
 
 def string(text):
@@ -27,6 +28,10 @@ def test_inventory(spark, tmp_path):
     weights(tmp_path)
     found = tensor_files.inventory(spark, f"file://{tmp_path}")
     assert {(r.architecture, r.tensor, r.dtype) for r in found.collect()} == {(None, "w.a", "BF16"), ("arch", "blk.0.x", "Q4_K"), ("arch", "blk.11.x", "Q4_K"), ("arch", "out", "type 99")}
+    assert {r.draft_layers for r in found.collect()} == {0}
+    digests = {r.path.rsplit("/", 1)[-1]: (r.size, r.sha256) for r in tensor_files.digests(spark, f"file://{tmp_path}", piece=7).collect()}
+    data = {n: (tmp_path / n).read_bytes() for n in ("m.safetensors", "m.gguf")}
+    assert digests == {n: (len(d), hashlib.sha256(d).hexdigest()) for n, d in data.items()}
     row = next(r for r in tensor_files.summary(found).collect() if r.path.endswith("gguf"))
     assert (row.counts, row.max_block) == ({"Q4_K": 2, "type 99": 1}, 11)
 
@@ -50,7 +55,21 @@ def test_catalogue(spark, tmp_path):
 
 def test_card(spark):
     rows = spark.range(1_500).select(F.lit("en").alias("language"), F.lit("s").alias("source"))
-    assert "| en | 1,500 |" in reports.card(rows, "T")
+    assert "| en | 1,500 |" in reports.card(rows, "T").first().markdown
+    many = spark.range(300).select(F.lit("en").alias("language"), F.concat(F.lit("s"), "id").alias("source"))
+    text = reports.card(many, "T").first().markdown
+    assert text.startswith("# T\n\n300 rows\n\n| language | rows |") and text.count("| 1 |") == 300
+    assert "0 rows" in reports.card(many.limit(0), "T").first().markdown
+
+
+def test_documents_are_whole(spark, tmp_path):
+    path = f"file://{tmp_path}/deep/a.json"
+    sinks.write_document(spark, path, {"b": 1, "a": {"d": "é", "c": None}})
+    sinks.write_document(spark, path, {"b": 2, "a": {}})
+    assert (tmp_path / "deep" / "a.json").read_text(encoding="utf-8") == '{\n  "a": {},\n  "b": 2\n}\n'
+    assert not (tmp_path / "deep" / "a.json.tmp").exists()
+    gone = jsonl.read_document(spark, f"file://{tmp_path}/none.json").select(F.to_json("value").alias("v")).collect()
+    assert [r.v for r in gone] == ["{}"]
 
 
 def test_dialog_fallback(spark):
