@@ -3,10 +3,7 @@
 from __future__ import annotations
 
 import ctypes
-import re
-import tempfile
 import threading
-import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -14,47 +11,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.session import ship
+from millrace.session import work_path
 
 #: A word: a run of characters that are neither the blank nor one of tab, newline, vertical tab, form feed, return.
 WORD = r"[^\x20\x09-\x0D]+"
 BATCH_ROWS = 500
 _lock = threading.Lock()
 _holders: dict[int, tuple[int, str]] = {}
-_local: dict[str, str] = {}
-_kept: set[str] = set()
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share: spark.checkpoint.dir. Where that is unset, a local master gets
-    a temporary folder; elsewhere it is an error, since every executor would write to a disk of its own."""
-    context = spark.sparkContext
-    folder = context.getConf().get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-    if context.applicationId not in _local:
-        _local[context.applicationId] = "file://" + tempfile.mkdtemp(prefix="millrace-")
-    return _local[context.applicationId]
-
-
-def work_dir(spark: SparkSession) -> str:
-    """The application's own folder below the shared one; it goes when the driver's JVM ends."""
-    folder = f"{shared_dir(spark)}/millrace-{spark.sparkContext.applicationId}"
-    if folder not in _kept:
-        ship(spark)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        files.mkdirs(path)
-        files.deleteOnExit(path)
-        _kept.add(folder)
-    return folder
-
-
-def work_path(spark: SparkSession, name: str) -> str:
-    """A new path below the application's folder."""
-    return f"{work_dir(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 @contextmanager
