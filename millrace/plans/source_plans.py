@@ -89,7 +89,7 @@ def jsonl_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jsonl.malformed(_torn(spark, sf_dir)).select(_part().alias("part"), "line", "reason")
 
 
-@query(f"SELECT c.conv_id, CAST(count(role) AS BIGINT) AS n, sha1(coalesce(string_agg(concat(role, ':', content), chr(10) ORDER BY turn), '')) AS digest FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN {_LAYOUTS} l ON c.conv_id = l.conv_id GROUP BY c.conv_id")
+@query(f"SELECT c.conv_id, CAST(count(role) AS BIGINT) AS n, sha1(coalesce(string_agg(concat(role, ':', content), chr(10) ORDER BY turn) FILTER (role IS NOT NULL), '')) AS digest FROM (SELECT DISTINCT conv_id FROM conversations) c LEFT JOIN {_LAYOUTS} l ON c.conv_id = l.conv_id GROUP BY c.conv_id")
 def message_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every layout as messages."""
     lines = _layouts(spark, sf_dir)
