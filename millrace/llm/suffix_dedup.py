@@ -237,7 +237,7 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     blocks = max(1, -(-total // BLOCK_BYTES))
     bits = min(32, max(6, (blocks - 1).bit_length()))
     merges = -(-blocks // MERGE)
-    dealt = own.select(F.pmod(F.xxhash64("id", F.substring("text", 1, 64)), F.lit(blocks)).alias("block"), "id", "text")
+    dealt = own.select(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).alias("block"), "id", "text")
     top = np.uint64(64 - bits)
 
     def bucketed(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
