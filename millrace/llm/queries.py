@@ -37,13 +37,12 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The labelled documents are counted first and fill the cache; then all documents are joined to it, and those that
-    it lacks are added."""
+    """The documents of one language are counted first and fill the cache; then all documents are joined to it, and the
+    texts that it lacks are added. The result has every document."""
     import public_tokenizers
 
     docs, cache, model = _documents(spark, sf_dir), work_path(spark, "token-cache"), public_tokenizers.path("piece_bpe_32k.model")
-    labelled = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id").distinct()
-    token_counts.fill_cache(docs.join(labelled, "doc_id", "left_semi"), model, cache)
+    token_counts.fill_cache(docs.filter("lang = 'es'"), model, cache)
     return token_counts.count_tokens(docs, model, cache)
 
 

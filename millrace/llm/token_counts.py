@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import materialize, small_batches, text_of, work_path
+from millrace.llm.common import materialize, release_memory, small_batches, text_of, work_path
 
 MARK = "▁"
 #: Units that a worker's memo holds at most; it starts anew beyond them.
@@ -125,6 +125,7 @@ def fill_cache(docs: DataFrame, tokenizer_path: str, cache_path: str, *, id_col:
         for batch in batches:
             counts = pa.array((tokens.count(x.as_py()) for x in batch.column("text")), pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column("content"), counts], names=["content", "n_tokens"])
+        release_memory()
 
     counted = distinct.mapInArrow(encode, "content binary, n_tokens long")
     with small_batches(spark):
