@@ -1,12 +1,11 @@
 """Rule tables over texts: hits, first failing reason, rubric scores.
 
-Every rule is a literal pattern, so that it is compiled once in a task. A cheap test of all alternatives in one pattern
-comes before the listing of single hits, which only failing rows pay for.
+Every rule is a literal pattern, so that it is compiled once in a task. A search for the rule's plain string, in the text
+without case, comes before its pattern, which only texts that have the string pay for.
 """
 
 from __future__ import annotations
 
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -14,14 +13,14 @@ from millrace.functions import lexicons as lex
 from millrace.functions import text as tx
 
 
-
 def _hits(found: list[tuple[str, Column]]) -> Column:
     """The labels whose test holds, distinct and sorted."""
     return F.array_sort(F.array_distinct(F.array_compact(F.array(*[F.when(test, F.lit(label)) for label, test in found]))))
 
 
-def _guarded(any_hit: Column, hits: Column) -> Column:
-    return F.when(any_hit, hits).otherwise(F.array().cast("array<string>"))
+def _folded(text: Column) -> Column:
+    """A text without case, so that it has every string that a search without case finds, and perhaps more."""
+    return F.lower(F.upper(F.translate(text, "\u0130", "i")))
 
 
 def quoted(word: str) -> str:
@@ -31,21 +30,18 @@ def quoted(word: str) -> str:
 
 def phrase_hits(text: Column, phrases: tuple[str, ...] = lex.BAD_PHRASES) -> Column:
     """Phrases that a text has, in any case."""
-    lowered = F.lower(text)
-    some = lowered.rlike("|".join(quoted(p.lower()) for p in phrases))
-    return _guarded(some, _hits([(p, F.contains(lowered, F.lit(p.lower()))) for p in phrases]))
+    return tx.let(F.lower(text), lambda t: _hits([(p, F.contains(t, F.lit(p.lower()))) for p in phrases]))
 
 
 def word_hits(text: Column, words: tuple[str, ...] = lex.ENGLISH_TERMS) -> Column:
     """Words or terms that stand alone in a text, in any case."""
-    pattern = lambda w: rf"(?iU)(?<!\w)(?:{w})(?!\w)"
-    some = text.rlike("(?iu)" + "|".join(map(quoted, words))) & text.rlike(pattern("|".join(map(quoted, words))))
-    return _guarded(some, _hits([(w, text.rlike(pattern(quoted(w)))) for w in words]))
+    alone = lambda w: rf"(?iU)(?<!\w)(?:{quoted(w)})(?!\w)"
+    return tx.let(_folded(text), lambda t: _hits([(w, F.contains(t, F.lit(w.lower())) & text.rlike(alone(w))) for w in words]))
 
 
 def heading_hits(text: Column, headings: tuple[str, ...] = lex.ENGLISH_HEADINGS) -> Column:
     """Headings that begin a line before a colon."""
-    return _hits([(f"{h}:", text.rlike(rf"(?imU)^\s*{quoted(h)}\s*:")) for h in headings])
+    return tx.let(_folded(text), lambda t: _hits([(f"{h}:", F.contains(t, F.lit(h.lower())) & text.rlike(rf"(?imU)^\s*{quoted(h)}\s*:")) for h in headings]))
 
 
 def pattern_hits(text: Column, patterns: tuple[tuple[str, str], ...] = lex.BAD_PATTERNS) -> Column:

@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from millrace.functions import lexicons as lex
 from millrace.functions import logs, rules
 from millrace.functions import text as tx
 
@@ -123,3 +124,12 @@ def test_lists_are_distinct():
     for words in (lex.BAD_PHRASES, lex.ENGLISH_TERMS, lex.ENGLISH_HEADINGS):
         assert len(set(words)) == len(words)
     assert all(re.compile(p) for p, _ in lex.BAD_PATTERNS)
+
+
+def test_words_in_any_case(spark):
+    """The plain search before a pattern loses nothing that the pattern finds without case."""
+    texts = ["S\u0130LO", "ma\u017fk", "MA\u017fK up", "wee\u212as", "s\u0131lo", "SILOS", "xmask", "mask_", "mask\u0301", "stra\u00dfe tray", None, ""]
+    found = apply(spark, lambda x: rules.word_hits(x), texts)
+    plain = apply(spark, lambda x: F.array_sort(F.array_compact(F.array(*[F.when(x.rlike(rf"(?iU)(?<!\w)(?:{rules.quoted(w)})(?!\w)"), F.lit(w)) for w in lex.ENGLISH_TERMS]))), texts)
+    assert found == plain and ["tray"] in found and ["weeks"] in found
+    assert apply(spark, rules.phrase_hits, [None, "MTANDAONI"]) == [[], ["mtandaoni"]]
