@@ -19,8 +19,9 @@ def _hits(found: list[tuple[str, Column]]) -> Column:
 
 
 def _folded(text: Column) -> Column:
-    """A text without case, so that it has every string that a search without case finds, and perhaps more."""
-    return F.lower(F.upper(F.translate(text, "\u0130", "i")))
+    """A text without case, so that it has every string of letters without marks that a search without case finds, and
+    perhaps more: the long s, the Kelvin sign and the dotted and dotless i are such letters to it."""
+    return F.lower(F.translate(text, "\u017f\u212a\u0130\u0131", "skii"))
 
 
 def quoted(word: str) -> str:
