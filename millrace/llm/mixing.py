@@ -84,7 +84,8 @@ def split_tickets(tickets: DataFrame, shards: int, seed: int) -> DataFrame:
         single = (F.col("hi") - F.col("lo")) == 1
         goes_left = F.col("place") < left
         lo, hi = F.when(single | goes_left, F.col("lo")).otherwise(F.col("lo") + half), F.when(single | ~goes_left, F.col("hi")).otherwise(F.col("lo") + half)
-        out = ranked.select("source", "block", "copy", "part", lo.alias("lo"), hi.alias("hi"))
+        # written, as the next level reads it three times
+        out = materialize(ranked.select("source", "block", "copy", "part", lo.alias("lo"), hi.alias("hi")), "mix-level")
     return out.select("source", "block", "copy", "part", F.col("lo").alias("shard"))
 
 
