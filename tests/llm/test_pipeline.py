@@ -64,7 +64,7 @@ def test_odd_inputs(spark, odd_docs, no_docs):
 
 
 def test_run_and_registration(spark, steps):
-    assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
+    assert __spark_entry__.queries()["pipeline"].__wrapped__ is corpus_pipeline.run
     again = corpus_pipeline.run(spark, FOLDER)
     key = ["doc_id", "start", "n_tokens", "ids_crc32"]
     assert sorted(map(tuple, again.select(key).collect())) == sorted(map(tuple, steps[-1].select(key).collect()))
