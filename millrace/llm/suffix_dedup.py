@@ -1,12 +1,15 @@
 """Repeated byte strings across documents, found by deep-shallow sorting of suffixes.
 
 Every string of `MATCH` bytes has an anchor: the place of the 16-byte gram in it with the smallest hash, leftmost first.
-Equal strings have their anchors at the same place, so that only suffixes under one anchor gram need to be sorted
-together, and neighbouring strings with one anchor travel together in a frame of 84 bytes around it.
-
- 1. Documents are dealt to blocks. A block sends each distinct anchor gram's hash once, dealt to buckets by its upper
-    bits; the bucket answers which of them occur in two or more documents.
- 2. A block sends each distinct frame around a shared anchor once, with the smallest and largest id that has it there.
+Equal strings have their anchors at the same place, so that only suffixes under one anchor need to be sorted together,
+and neighbouring strings with one anchor travel together in a frame of 84 bytes around it. Strings that begin 16 or
+fewer bytes before their anchor all have the 32 bytes from the anchor on, and the others the 32 bytes up to its end.
+These are their key; a frame holds strings of one key, so that a gram that is common in a language, with surroundings
+that differ, is no hot key.
+
+ 1. Documents are dealt to blocks. A block sends each distinct key's hash once, dealt to buckets by its upper bits; the
+    bucket answers which of them occur in two or more documents.
+ 2. A block sends each distinct frame of a shared key once, with the smallest and largest id that has it there.
  3. A bucket sorts the suffixes (the strings' starts) in its frames, shallow first: like a multikey quicksort it
     partitions every group by its next character, but with characters of eight and five bytes and by a sort of all
     groups' characters at once instead of a ternary split, to a depth of 18 bytes; then blind tries take the groups that
@@ -17,7 +20,7 @@ together, and neighbouring strings with one anchor travel together in a frame of
 
 A hot string costs a frame a block, not a row a document. With many blocks the frames of a bucket are first merged in
 groups of `MERGE` blocks, so that a hot string costs the bucket a frame a group. The texts are shuffled once; the steps
-read the same exchange. There are as many buckets as blocks, so that neither grows with the input. Strings are compared
+read the same exchange. The buckets are as many as the blocks to a factor of two, so that neither grows with the input. Strings are compared
 byte by byte; an answer names its frame to a block by a hash of 128 bits.
 
 Edge cases: null and empty texts have no bytes; a null id counts as larger than any other; repeated ids are not smaller
@@ -29,10 +32,10 @@ in pieces of bounded size where a step needs more memory than the text.
 from __future__ import annotations
 
 import hashlib
-import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +44,8 @@ from millrace.llm.common import materialize, text_of
 MATCH, GRAM = 50, 16
 SPAN = MATCH - GRAM + 1
 FRAME = 2 * MATCH - GRAM
+#: A key's bytes, and the most bytes that a string with the key to the right begins before its anchor.
+KEY, RIGHT = 2 * GRAM, GRAM
 #: A frame's row: its bytes, first and last string in it, and two bytes to a multiple of eight.
 ROW = FRAME + 4
 GAP = 64
@@ -65,10 +70,29 @@ def gram_hash(words: np.ndarray, at: int | np.ndarray, n: int = 0) -> np.ndarray
     return mix(first * _M[0] + (second ^ _M[2]) * _M[1])
 
 
-def gram_of(frames: np.ndarray) -> np.ndarray:
-    """The hashes of frames' anchor grams."""
-    words = np.ascontiguousarray(frames[:, MATCH - GRAM : MATCH]).view("<u8")
-    return mix(words[:, 0] * _M[0] + (words[:, 1] ^ _M[2]) * _M[1])
+def packed(parts: list[np.ndarray]) -> pa.Array:
+    """Each array's bytes, compressed."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    return pa.array([squeeze(p.tobytes()) for p in parts], pa.binary())
+
+
+def unpacked(column: pa.ChunkedArray) -> list[bytes]:
+    stretch = zstandard.ZstdDecompressor().decompress
+    return [stretch(x.as_py()) for x in column]
+
+
+def key_hash(words: list[np.ndarray], right: bool | np.ndarray) -> np.ndarray:
+    """Hashes of keys from their four words and whether they lie to the right of the anchor."""
+    first = mix(words[0] * _M[0] + (words[1] ^ _M[2]) * _M[1])
+    second = mix(words[2] * _M[1] + (words[3] ^ _M[0]) * _M[2])
+    return mix(first * _M[0] + second * _M[1] + np.asarray(right, np.uint64))
+
+
+def key_of(frames: np.ndarray) -> np.ndarray:
+    """The hashes of frames' keys."""
+    words = np.ascontiguousarray(frames[:, MATCH - KEY : MATCH - GRAM + KEY]).view("<u8")
+    right = frames[:, FRAME] >= MATCH - GRAM - RIGHT
+    return key_hash([np.where(right, words[:, k + 2], words[:, k]) for k in range(4)], right)
 
 
 class Block:
@@ -90,7 +114,8 @@ class Block:
         self._anchors()
 
     def _anchors(self) -> None:
-        """anchor, low, high: each anchor with the first and last string it belongs to; gram: its hash; owner: its document."""
+        """anchor, low, high: each anchor with the first and last string of a key that it belongs to; key: the key's
+        hash; owner: the document."""
         buffer, n = self.buffer, len(self.buffer) - MATCH + 1
         words = np.ndarray((len(buffer) - 7,), "<u8", buffer, strides=(1,))
         place = np.empty(n, np.int32 if n < 1 << 31 else np.int64)
@@ -115,8 +140,17 @@ class Block:
         new[1:] = (where[1:] != where[:-1]) | (at[1:] != at[:-1] + 1)
         first = np.flatnonzero(new)
         last = np.append(first[1:], len(at)) - 1 if len(first) else first
-        self.anchor, self.low, self.high = (x.astype(np.int64) for x in (where[first], at[first], at[last]))
-        self.gram = np.concatenate([gram_hash(words, self.anchor[i : i + PIECE]) for i in range(0, len(first), PIECE)] or [np.zeros(0, np.uint64)])
+        anchor, low, high = (x.astype(np.int64) for x in (where[first], at[first], at[last]))
+        cut = anchor - RIGHT
+        left, right = np.flatnonzero(low < cut), np.flatnonzero(high >= cut)
+        self.anchor = np.concatenate([anchor[left], anchor[right]])
+        self.low = np.concatenate([low[left], np.maximum(low, cut)[right]])
+        self.high = np.concatenate([np.minimum(high, cut - 1)[left], high[right]])
+        hashes = [np.zeros(0, np.uint64)]
+        for places, is_right in ((anchor[left] - (KEY - GRAM), False), (anchor[right], True)):
+            for i in range(0, len(places), PIECE):
+                hashes.append(key_hash([words[places[i : i + PIECE] + 8 * k] for k in range(4)], is_right))
+        self.key = np.concatenate(hashes)
         self.owner = np.searchsorted(self.starts, self.anchor, "right") - 1
 
     def frames(self, chosen: np.ndarray) -> np.ndarray:
@@ -134,8 +168,9 @@ class Block:
 
 
 def name_of(rows: np.ndarray, half: int) -> np.ndarray:
-    """Half of the 128-bit names of frames."""
-    return mix((mix(rows.view("<u8")) * _FOLDS[half]).sum(1, dtype=np.uint64))
+    """Half of the 128-bit names of frames; the first begins with 32 bits of the key's hash."""
+    name = mix((mix(rows.view("<u8")) * _FOLDS[half]).sum(1, dtype=np.uint64))
+    return name if half else (key_of(rows) << np.uint64(32)) | (name >> np.uint64(32))
 
 
 def distinct(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -235,45 +270,45 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     own = docs.select(F.coalesce(key, F.lit(NO_ID)).alias("id"), text_of(text_col).alias("text"))
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // BLOCK_BYTES))
-    bits = min(32, max(6, (blocks - 1).bit_length()))
+    bits = min(32, max(6, blocks.bit_length() - 1))
     merges = -(-blocks // MERGE)
     dealt = own.select(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).alias("block"), "id", "text")
     top = np.uint64(64 - bits)
 
     def bucketed(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct grams ascending, each anchor's place among them, the buckets with grams, and where each begins."""
-        grams, places = np.unique(block.gram, return_inverse=True)
-        bucket, begins = np.unique((grams >> top).astype(np.int64), return_index=True)
-        return grams, places, bucket, np.append(begins, len(grams))
+        """Distinct keys ascending, each anchor's place among them, the buckets with keys, and where each begins."""
+        keys, places = np.unique(block.key, return_inverse=True)
+        bucket, begins = np.unique((keys >> top).astype(np.int64), return_index=True)
+        return keys, places, bucket, np.append(begins, len(keys))
 
     def name(table: pa.Table) -> int:
         return table.column("block")[0].as_py()
 
     def ask(table: pa.Table) -> pa.Table:
         block = Block(table)
-        grams, places, bucket, begins = bucketed(block)
+        keys, places, bucket, begins = bucketed(block)
         by = np.lexsort((block.owner, places))
-        twice = np.zeros(len(grams), bool)
+        twice = np.zeros(len(keys), bool)
         p, o = places[by], block.owner[by]
         twice[p[1:][(p[1:] == p[:-1]) & (block.ids[o[1:]] != block.ids[o[:-1]])]] = True
-        rest = ((grams << np.uint64(bits)) >> np.uint64(32)).astype("<u4")
+        rest = ((keys << np.uint64(bits)) >> np.uint64(32)).astype("<u4")
         rows = [(rest[a:b].tobytes(), np.packbits(twice[a:b]).tobytes()) for a, b in zip(begins[:-1], begins[1:])]
         n = len(rows)
-        return pa.table([pa.array([name(table)] * n, pa.int64()), pa.array(bucket, pa.int64()), *(pa.array([r[k] for r in rows], pa.binary()) for k in range(2))], names=["block", "bucket", "grams", "twice"])
+        return pa.table([pa.array([name(table)] * n, pa.int64()), pa.array(bucket, pa.int64()), *(pa.array([r[k] for r in rows], pa.binary()) for k in range(2))], names=["block", "bucket", "keys", "twice"])
 
     def share(table: pa.Table) -> pa.Table:
-        grams = [np.frombuffer(x.as_py(), "<u4") for x in table.column("grams")]
-        twice = np.concatenate([np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=len(g)) for x, g in zip(table.column("twice"), grams)]).astype(bool)
-        values, places, counts = np.unique(np.concatenate(grams), return_inverse=True, return_counts=True)
+        keys = [np.frombuffer(x.as_py(), "<u4") for x in table.column("keys")]
+        twice = np.concatenate([np.unpackbits(np.frombuffer(x.as_py(), np.uint8), count=len(g)) for x, g in zip(table.column("twice"), keys)]).astype(bool)
+        values, places, counts = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
         shared = counts > 1
         shared[places[twice]] = True
-        parts = np.split(shared[places], np.cumsum([len(g) for g in grams])[:-1])
+        parts = np.split(shared[places], np.cumsum([len(g) for g in keys])[:-1])
         return pa.table([table.column("block"), table.column("bucket"), pa.array([np.packbits(p).tobytes() for p in parts], pa.binary())], names=["block", "bucket", "shared"])
 
     def send(table: pa.Table, masks: pa.Table) -> pa.Table:
         block = Block(table)
-        grams, places, bucket, begins = bucketed(block)
-        shared = np.zeros(len(grams), bool)
+        keys, places, bucket, begins = bucketed(block)
+        shared = np.zeros(len(keys), bool)
         at = {b: k for k, b in enumerate(bucket.tolist())}
         for b, mask in zip(masks.column("bucket").to_pylist(), masks.column("shared")):
             a, z = begins[at[b]], begins[at[b] + 1]
@@ -290,23 +325,24 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
 
     def packed_frames(rows: np.ndarray, least: np.ndarray, most: np.ndarray, sender: int) -> pa.Table:
         """A row per bucket with frames, for the bucket's judge."""
-        of = (gram_of(rows) >> top).astype(np.int64)
+        of = (key_of(rows) >> top).astype(np.int64)
         by = np.argsort(of, kind="stable")
         rows, least, most, of = rows[by], least[by], most[by], of[by]
         bucket, begins = np.unique(of, return_index=True)
         cuts = list(zip(begins, np.append(begins[1:], len(of))))
-        packed = [pa.array([zlib.compress(rows[a:b].tobytes(), 1) for a, b in cuts], pa.binary()), *(pa.array([x[a:b].tobytes() for a, b in cuts], pa.binary()) for x in (least, most))]
-        return pa.table([pa.array([sender] * len(cuts), pa.int64()), pa.array(bucket, pa.int64()), *packed], names=["block", "bucket", "frames", "low", "high"])
+        columns = [packed([x[a:b] for a, b in cuts]) for x in (rows, least, most - least)]
+        return pa.table([pa.array([sender] * len(cuts), pa.int64()), pa.array(bucket, pa.int64()), *columns], names=["block", "bucket", "frames", "low", "more"])
 
-    def unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def load_frames(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Frames, ids, and the row of the table that each frame is from."""
-        low, high = (np.concatenate([np.frombuffer(x.as_py(), "<i8") for x in table.column(c)]) for c in ("low", "high"))
-        rows = np.concatenate([np.frombuffer(zlib.decompress(x.as_py()), np.uint8) for x in table.column("frames")]).reshape(-1, ROW)
-        return rows, low, high, np.repeat(np.arange(len(table)), [len(x.as_py()) // 8 for x in table.column("low")])
+        frames, low, more = (unpacked(table.column(c)) for c in ("frames", "low", "more"))
+        rows = np.frombuffer(b"".join(frames), np.uint8).reshape(-1, ROW)
+        least = np.frombuffer(b"".join(low), "<i8")
+        return rows, least, least + np.frombuffer(b"".join(more), "<i8"), np.repeat(np.arange(len(table)), [len(x) // 8 for x in low])
 
     def merge(table: pa.Table) -> pa.Table:
         """The frames of a bucket from one group of blocks, once each; the group's number is their sender."""
-        rows, low, high, _ = unpacked(table)
+        rows, low, high, _ = load_frames(table)
         return packed_frames(*merged(rows, low, high)[:3], table.column("block")[0].as_py() // MERGE)
 
     def runs_table(senders: list, frames: np.ndarray, sender: np.ndarray, a: np.ndarray, z: np.ndarray, least: np.ndarray, bucket: int) -> pa.Table:
@@ -314,12 +350,12 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         marks = np.stack([name_of(frames, 0), name_of(frames, 1)], 1)
         block, begins = np.unique(sender, return_index=True)
         cuts = list(zip(begins, np.append(begins[1:], len(sender))))
-        columns = [pa.array([zlib.compress(x[i:j].tobytes(), 1) for i, j in cuts], pa.binary()) for x in (marks, a, z, least)]
+        columns = [packed([x[i:j] for i, j in cuts]) for x in (marks, a, z, least)]
         return pa.table([pa.array([senders[k] for k in block], pa.int64()), pa.array([bucket] * len(cuts), pa.int64()), *columns], names=["block", "bucket", "marks", "first", "last", "least"])
 
     def load_runs(runs: pa.Table) -> tuple[np.ndarray, ...]:
         """Runs by the first half of their frames' names, ascending."""
-        load = lambda c, kind: np.concatenate([np.frombuffer(zlib.decompress(x.as_py()), kind) for x in runs.column(c)])
+        load = lambda c, kind: np.frombuffer(b"".join(unpacked(runs.column(c))), kind)
         marks, first, last, least = load("marks", "<u8").reshape(-1, 2), load("first", np.uint8), load("last", np.uint8), load("least", "<i8")
         by = np.argsort(marks[:, 0], kind="stable")
         return marks[by], first[by], last[by], least[by]
@@ -338,7 +374,7 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         """The runs of a bucket's merged frames, for each block of the group that has them."""
         if not len(table) or not len(runs):
             return runs.slice(0, 0).select(["block", "bucket", "marks", "first", "last", "least"])
-        rows, _, high, of = unpacked(table)
+        rows, _, high, of = load_frames(table)
         marks, a, z, least = load_runs(runs)
         frame, run = runs_of(rows, marks)
         later = least[run] < high[frame]
@@ -348,9 +384,9 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         return runs_table(table.column("block").to_pylist(), rows[frame], of[frame], a[run], z[run], least[run], table.column("bucket")[0].as_py())
 
     def judge(table: pa.Table) -> pa.Table:
-        given, low, high, of = unpacked(table)
+        given, low, high, of = load_frames(table)
         frames, least_id, most_id, place = merged(given, low, high)
-        part = (gram_of(frames) >> np.uint64(8)) % np.uint64(max(1, len(frames) // 4_000))
+        part = (key_of(frames) >> np.uint64(8)) % np.uint64(max(1, len(frames) // 4_000))
         found: list[tuple[np.ndarray, ...]] = []
         by = np.argsort(part)
         for own in np.split(by, np.flatnonzero(np.diff(part[by])) + 1) if len(by) else []:
@@ -386,8 +422,11 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         cover = np.zeros(len(block.buffer) + 1, np.int32)
         if len(runs):
             marks, first, last, least = load_runs(runs)
-            for i in range(0, len(block.anchor), PIECE):
-                part = np.arange(i, min(i + PIECE, len(block.anchor)))
+            wanted, own = np.unique(marks[:, 0] >> np.uint64(32)), block.key & np.uint64(0xFFFFFFFF)
+            near = np.minimum(np.searchsorted(wanted, own), len(wanted) - 1)
+            chosen = np.flatnonzero(wanted[near] == own)
+            for i in range(0, len(chosen), PIECE):
+                part = chosen[i : i + PIECE]
                 frame, run = runs_of(block.frames(part), marks)
                 anchor = part[frame]
                 later = least[run] < block.ids[block.owner[anchor]]
@@ -405,9 +444,9 @@ def repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
         types = [pa.int64()] * 4 + [pa.string()] + [pa.binary()] * with_kept
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * len(types), types)], names=[x.split()[0] for x in schema.split(", ")])
 
-    asked = dealt.groupBy("block").applyInArrow(ask, "block long, bucket long, grams binary, twice binary")
+    asked = dealt.groupBy("block").applyInArrow(ask, "block long, bucket long, keys binary, twice binary")
     masks = asked.groupBy("bucket").applyInArrow(share, "block long, bucket long, shared binary")
-    sent_types, run_types = "block long, bucket long, frames binary, low binary, high binary", "block long, bucket long, marks binary, first binary, last binary, least binary"
+    sent_types, run_types = "block long, bucket long, frames binary, low binary, more binary", "block long, bucket long, marks binary, first binary, last binary, least binary"
     sent = dealt.groupBy("block").cogroup(masks.groupBy("block")).applyInArrow(send, sent_types)
     if merges == 1:
         judged = sent.groupBy("bucket").applyInArrow(judge, run_types)
