@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from millrace.llm import suffix_dedup
@@ -86,3 +87,17 @@ def test_frames_of_one_name_are_compared(monkeypatch):
         monkeypatch.setattr(suffix_dedup, "name_of", name)
         first, place = suffix_dedup.distinct(rows)
         assert len(first) == len({r.tobytes() for r in rows}) and (rows[first][place] == rows).all()
+
+
+def test_common_grams_are_no_keys():
+    """Texts that have only one anchor gram in common share no key, and frames have the keys of their anchors."""
+    rng = random.Random(5)
+    gram = "a common passage"
+    words = ["".join(rng.choices("bcdfghjklm", k=60)) + gram + "".join(rng.choices("bcdfghjklm", k=60)) for _ in range(50)]
+    table = pa.table({"id": pa.array(range(50), pa.int64()), "text": words})
+    block = suffix_dedup.Block(table)
+    assert len(gram) == suffix_dedup.GRAM and len(set(block.key.tolist())) == len(block.key)
+    chosen = np.arange(len(block.anchor))
+    assert (suffix_dedup.key_of(block.frames(chosen)) == block.key).all()
+    strings = sorted(p for a, z in zip(block.low, block.high) for p in range(a, z + 1))
+    assert strings == [p for at, n in zip(block.starts, block.lengths) for p in range(at, at + n - 49)]
