@@ -11,16 +11,21 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import strip
 from millrace.operators import dialog
+from millrace.session import work_path
 
 
 def read_lines(spark: SparkSession, path: str, *, keep_blank_index: bool = True) -> DataFrame:
     """(file, row_index, line) of the non-blank lines. row_index counts from 0 in each file.
 
     keep_blank_index: blank lines use up an index. Files are read split by split: lines are numbered inside their split,
-    in which the running id ascends, and the splits' counts are added up by file.
+    in which the running id ascends, and the splits' counts are added up by file. Where splits begin goes by the files of
+    a scan, which a caller's filter can make fewer, so that both numbers are taken from one stored scan.
     """
     block = F.col("_metadata.file_block_start").alias("block")
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), block, F.col("value").alias("line")).withColumn("id", F.monotonically_increasing_id())
+    stored = work_path(spark, "lines")
+    lines.write.parquet(stored)
+    lines = spark.read.schema(lines.schema).parquet(stored)
     solid = F.trim("line") != ""
     counted = lines if keep_blank_index else lines.filter(solid)
     before = Window.partitionBy("file").orderBy("block")

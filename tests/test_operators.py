@@ -58,6 +58,20 @@ def test_line_numbers_over_splits(spark, tmp_path):
     assert {(r.source_id, r.instruction) for r in found} == {(f"k-{i}", f"q{i}") for i in range(400) if i % 5}
 
 
+def test_one_of_several_files_keeps_its_lines(spark, tmp_path):
+    for k in range(2):
+        (tmp_path / f"part={k}").mkdir()
+        write(tmp_path / f"part={k}", [json.dumps({"user": f"q{i}", "assistant": "a"}) for i in range(2_000)])
+    kept = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1000")
+    try:
+        lines = jsonl.read_lines(spark, f"file://{tmp_path}/part=*").withColumn("part", F.regexp_extract("file", r"part=(\d+)", 1).cast("long"))
+        found = [jsonl.chat_rows(lines.filter(F.col("part") == k), "k").collect() for k in range(2)]
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", kept)
+    assert all(sorted((r.source_id, r.instruction) for r in rows) == sorted((f"k-{i}", f"q{i}") for i in range(2_000)) for rows in found)
+
+
 def turns(*pairs):
     return [{"role": r, "content": c} for r, c in pairs]
 
