@@ -3,22 +3,22 @@
 Model. Trusted texts (labelled good and not toxic) are counted in n-grams of `ORDER` symbols; a symbol is a lower-cased
 character of 12 bits, with white space as one blank, digits as one symbol, and code points from 3072 up folded into 1023
 symbols, so that an n-gram of five is one exact long. Continuation counts of the shorter orders, count-of-count
-discounts, context totals and back-off weights are aggregations and joins of these count tables. The fit uses at most
-half of a language's trusted documents, `per_lang` of them and `most_docs` in all, those with the smallest hash of their
-id; the others are held out for the quantiles.
+discounts, context totals and back-off weights are aggregations and joins of these count tables. Every trusted document
+has a part: the half of a language's with the smallest hashes of their ids is counted, however many they are, and the
+others are held out, all of them, for the quantiles. `per_lang` bounds the counted ones for a caller who wants that.
 
 Scoring. Documents are dealt to blocks by a hash of id and text. Each block asks once for each distinct n-gram of its
 documents; the requests are dealt to shards by the last two symbols of the context, which all the counts that an n-gram
 needs share (unigram and bigram tables are small and go to every shard). Each shard joins its requests with its part of
 the count tables and answers with log probabilities, and the block, joined with its answers, sums them per document.
-So each block sends its n-gram types, not its tokens, and nothing is sent to all tasks. With more blocks a shard's
-requests are split into more slices.
+So each block sends its n-gram types, not its tokens, and nothing is sent to all tasks. A larger model has more shards,
+and with more blocks a shard's requests are split into more slices, each of which gets a copy of the shard.
 
 Decision. The score is the mean negative log probability of a symbol, drawn towards the language's trusted mean by
 `prior` symbols, so that a few words can't be far out. A second score sees short bad passages that the mean dilutes: the
 largest mean over `passage` symbols in a row, a shorter text filled up with the trusted mean. A document is kept if its
 score is between two quantiles of the held-out trusted documents of its language, and its passage score is at most their
-upper quantile. The lower quantile isn't asked of the documents of the fit, whose perplexity is low for having been counted.
+upper quantile. A quantile is the exact value at its place: a sketch only tells which values need to be counted. The lower quantile isn't asked of the documents of the fit, whose perplexity is low for having been counted.
 
 Edge cases: null and empty texts have no score and are rejected; a null language is one language; languages with fewer
 than `min_trusted` trusted documents use the quantiles of all; with no trusted text at all nothing is scored against,
@@ -33,13 +33,14 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.common import materialize, release_memory, text_of, without
+from millrace.llm.common import broadcast_if, materialize, release_memory, text_of, without
 
 ORDER, BITS = 5, 12
-SHARDS = 64
+#: Shards of a model of up to SHARDS * SHARD_ROWS rows; a larger one has a multiple of them.
+SHARDS, SHARD_ROWS = 64, 32_768
 BLOCK_CHARS = 2_000_000
 #: Tables up to this many cells are indexed directly; beyond it by sorting.
 DENSE = 1 << 23
@@ -114,9 +115,9 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((context * 2_654_435_761) >> 20) % shards
 
 
-def shard_column(context: str) -> Column:
+def shard_column(context: str, shards: int) -> Column:
     """shard_of for a column with the last two symbols of a context."""
-    return F.pmod(F.shiftright(F.col(context) * F.lit(2_654_435_761), 20), F.lit(SHARDS)).cast("int")
+    return F.pmod(F.shiftright(F.col(context) * F.lit(2_654_435_761), 20), F.lit(shards)).cast("int")
 
 
 def pack(values: np.ndarray) -> bytes:
@@ -128,7 +129,7 @@ def unpack(data: bytes, dtype: str) -> np.ndarray:
 
 
 def fit(texts: DataFrame) -> DataFrame:
-    """The model of a bounded set of texts (column text): order, key, alpha (its own share of the probability) and, for
+    """The model of all given texts (column text): order, key, alpha (its own share of the probability) and, for
     contexts, order, key, gamma (the share of the shorter order); kind says which. Shards are set for both."""
 
     def count(batches):
@@ -162,7 +163,8 @@ def fit(texts: DataFrame) -> DataFrame:
     model = materialize(alphas.unionByName(gammas), "kn-model")
     last_two = F.when(F.col("kind") == "a", F.shiftright("key", BITS)).otherwise(F.col("key")).bitwiseAND(F.lit((1 << 2 * BITS) - 1))
     everywhere = F.col("order") <= 2
-    shards = F.when(everywhere, F.sequence(F.lit(0), F.lit(SHARDS - 1))).otherwise(F.array(shard_column("last_two")))
+    count = SHARDS * max(1, -(-model.filter(~everywhere).count() // (SHARDS * SHARD_ROWS)))
+    shards = F.when(everywhere, F.sequence(F.lit(0), F.lit(count - 1))).otherwise(F.array(shard_column("last_two", count)))
     return materialize(model.withColumn("last_two", last_two).select("kind", "order", "key", "value", F.explode(shards).alias("shard")), "kn-shards")
 
 
@@ -204,7 +206,10 @@ def scores(docs: DataFrame, model: DataFrame, *, id_col: str, text_col: str, kee
     own = docs.select(F.col(id_col).alias("id"), *keep, text_of(text_col).alias("text"))
     total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks = max(1, -(-total // BLOCK_CHARS))
-    slices = max(1, blocks // 256)
+    # unigrams are in every shard, so that the last one has rows
+    last = model.agg(F.max("shard")).first()[0]
+    shards = SHARDS if last is None else last + 1
+    slices = max(1, blocks * SHARDS // (256 * shards))
     keep_fields = [f for f in own.schema.fields if f.name in keep]
     types = f"block long, id {own.schema['id'].dataType.simpleString()}, " + "".join(f"{f.name} {f.dataType.simpleString()}, " for f in keep_fields) + "data binary"
 
@@ -225,7 +230,7 @@ def scores(docs: DataFrame, model: DataFrame, *, id_col: str, text_col: str, kee
         stream, _ = symbols(texts_of(table))
         keys, _, _ = ngrams(stream)
         block = table.column("block")[0].as_py() if len(table) else 0
-        shard = shard_of(keys, SHARDS)
+        shard = shard_of(keys, shards)
         found = [(block, int(s), int(s) * slices + block % slices, pack(np.diff(np.sort(keys[shard == s]), prepend=0))) for s in np.unique(shard)]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*found) if found else [[]] * 4, (pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names=["block", "shard", "slot", "keys"])
 
@@ -242,7 +247,7 @@ def scores(docs: DataFrame, model: DataFrame, *, id_col: str, text_col: str, kee
     def total_up(table: pa.Table, answers: pa.Table) -> pa.Table:
         stream, lengths = symbols(texts_of(table))
         keys, ids, at = ngrams(stream)
-        shard, logs = shard_of(keys, SHARDS), np.zeros(len(keys))
+        shard, logs = shard_of(keys, shards), np.zeros(len(keys))
         by_key = np.argsort(keys, kind="stable")
         for s, data in zip(answers.column("shard").to_pylist(), answers.column("values").to_pylist()):
             logs[by_key[shard[by_key] == s]] = unpack(data, "<u2") / -SCALE
@@ -262,19 +267,50 @@ def scores(docs: DataFrame, model: DataFrame, *, id_col: str, text_col: str, kee
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(total_up, out)
 
 
-def classify(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int = 1_500, most_docs: int = 20_000, low: float = 0.005, high: float = 0.995, prior: int = 100, min_trusted: int = 30, passage: int = PASSAGE) -> DataFrame:
+def counted_half(trusted: DataFrame, per_lang: int | None = None) -> DataFrame:
+    """The rows (doc_id, lang) that the model counts: the smaller hashes of each language, half of them, rounded up.
+    Places come from counts of ranges of the hash and a window inside each range."""
+    keyed = trusted.withColumn("hash", F.xxhash64("doc_id")).withColumn("range", F.shiftright("hash", 52))
+    ranges = keyed.groupBy(F.col("lang").alias("r_lang"), F.col("range").alias("r_range")).agg(F.count(F.lit(1)).alias("rows"))
+    of_lang = Window.partitionBy("r_lang")
+    before = F.coalesce(F.sum("rows").over(of_lang.orderBy("r_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    half = F.ceil(F.sum("rows").over(of_lang) / 2)
+    ranges = ranges.select("r_lang", "r_range", before.alias("before"), (half if per_lang is None else F.least(half, F.lit(per_lang))).alias("wanted"))
+    joined = keyed.join(ranges, F.col("lang").eqNullSafe(F.col("r_lang")) & (F.col("range") == F.col("r_range"))).filter(F.col("before") < F.col("wanted"))
+    inside = F.row_number().over(Window.partitionBy("lang", "range").orderBy("hash", "doc_id"))
+    return joined.withColumn("place", F.col("before") + inside).filter(F.col("place") <= F.col("wanted")).select("doc_id", "lang")
+
+
+def quantiles(rows: DataFrame, group: list[str], wanted: list[tuple[str, float, str]], same: list[str], margin: float = 0.001) -> DataFrame:
+    """A row per group: the columns that are the same in its rows, and for each (column, quantile, name) the value at
+    place ceil(quantile * rows), 1 at least, in ascending order. A sketch gives two values around the place; the rows
+    below them are counted, and the values between them are ordered."""
+    around = []
+    for of, q, name in wanted:
+        around.append((F.percentile_approx(of, F.lit(q - margin), 10_000) if q > margin else F.min(of)).alias(f"{name}_from"))
+        around.append((F.percentile_approx(of, F.lit(q + margin), 10_000) if q + margin < 1 else F.max(of)).alias(f"{name}_to"))
+    sketch = materialize(rows.groupBy(*group).agg(F.count(F.lit(1)).alias("rows"), *[F.first(c).alias(c) for c in same], *around), "sketch")
+    key = [F.col(c).alias(f"k_{c}") for c in group]
+    on = lambda: [F.col(c).eqNullSafe(F.col(f"k_{c}")) for c in group]
+    each = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.col(of).alias("value"), F.greatest(F.lit(1), F.ceil(F.lit(q) * F.col("rows"))).alias("place"), F.col(f"{name}_from").alias("from"), F.col(f"{name}_to").alias("to")) for of, q, name in wanted]))
+    valued = rows.select(*group, *{of for of, _, _ in wanted}).join(sketch.select(*key, "rows", *[f"{n}_{e}" for _, _, n in wanted for e in ("from", "to")]), on()).select(*group, each.alias("x")).select(*group, "x.*").filter(F.col("value") <= F.col("to"))
+    counts = valued.groupBy(*group, "name", "place", F.when(F.col("value") >= F.col("from"), F.col("value")).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    # the rows below the first value come first, as null
+    up_to = F.sum("n").over(Window.partitionBy(*group, "name").orderBy(F.asc_nulls_first("value")))
+    reached = counts.withColumn("up_to", up_to).filter((F.col("up_to") >= F.col("place")) & F.col("value").isNotNull())
+    least = reached.groupBy(*key).agg(*[F.min(F.when(F.col("name") == name, F.col("value"))).alias(name) for _, _, name in wanted])
+    return sketch.join(least, on()).select(*group, *same, *[name for _, _, name in wanted])
+
+
+def classify(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", per_lang: int | None = None, low: float = 0.005, high: float = 0.995, prior: int = 100, min_trusted: int = 30, passage: int = PASSAGE, broadcast_rows: int = 3_000_000) -> DataFrame:
     """A row per document: doc_id, digest (of the text), perplexity (per symbol; null without text), score, passage
     (the score of the worst passage), kept."""
     own = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.xxhash64(text_col).alias("digest"), F.col(text_col).alias("text"))
     good = labels.groupBy(F.col("doc_id").alias("l_id")).agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).filter("q = 1 and t = 0").select("l_id")
     trusted = materialize(own.select("doc_id", "lang").join(good, F.col("doc_id") == F.col("l_id")).select("doc_id", "lang").distinct(), "trusted")
-    # of a frequent language only hashes that can be among the smallest are ranked: twice as many as are wanted
-    sizes = materialize(trusted.groupBy(F.col("lang").alias("h_lang")).agg(F.count(F.lit(1)).alias("trusted")), "trusted-sizes")
-    place = (F.xxhash64("doc_id") / F.lit(float(1 << 63)) + 1) / 2
-    likely = trusted.join(sizes, F.col("lang").eqNullSafe(F.col("h_lang"))).filter(place <= F.lit(2.0 * per_lang) / F.col("trusted"))
-    ranked = likely.selectExpr("doc_id", "lang", "trusted", "row_number() over (partition by lang order by xxhash64(doc_id), doc_id) as place")
-    sample = materialize(ranked.filter((F.col("place") <= per_lang) & (F.col("place") <= F.ceil(F.col("trusted") / 2))).orderBy("place", "doc_id").limit(most_docs).select(F.col("doc_id").alias("s_id")), "trusted-sample")
-    model = fit(own.join(F.broadcast(sample), F.col("doc_id") == F.col("s_id")).select("text"))
+    sample = materialize(counted_half(trusted, per_lang).select(F.col("doc_id").alias("s_id")).distinct(), "trusted-counted")
+    n_sample = sample.count()
+    model = fit(own.join(broadcast_if(sample, n_sample, broadcast_rows), F.col("doc_id") == F.col("s_id")).select("text"))
     scored = materialize(scores(own, model, id_col="doc_id", text_col="text", keep=("lang", "digest"), passage=passage), "perplexities")
 
     held = scored.join(trusted.join(sample, F.col("doc_id") == F.col("s_id"), "left_anti").select(F.col("doc_id").alias("t_id")), F.col("id") == F.col("t_id"), "left_semi").filter("n > 0")
@@ -283,13 +319,14 @@ def classify(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
     every = held.agg(F.count(F.lit(1)).alias("docs"), (F.sum("nll") / F.sum("n")).alias("mean"))
     drawn = lambda mean: (F.col("nll") + prior * mean) / (F.col("n") + prior)
     filled = lambda mean: (F.col("peak") + F.greatest(F.lit(passage) - F.col("n"), F.lit(0)) * mean) / passage
-    parts = [F.percentile_approx(of, F.lit(q), 10_000).alias(name) for name, of, q in (("lo", "score", low), ("hi", "score", high), ("worst", "passage", high))]
-    by_lang = held.join(means.withColumnRenamed("lang", "m_lang"), F.col("lang").eqNullSafe(F.col("m_lang"))).withColumn("score", drawn(F.col("mean"))).withColumn("passage", filled(F.col("mean"))).groupBy("lang").agg(F.first("docs").alias("docs"), F.first("mean").alias("mean"), *parts).filter(F.col("docs") >= min_trusted)
-    overall = held.crossJoin(F.broadcast(every)).withColumn("score", drawn(F.col("mean"))).withColumn("passage", filled(F.col("mean"))).agg(F.first("mean").alias("a_mean"), *[p.alias(f"a_{n}") for p, n in zip(parts, ("lo", "hi", "worst"))])
-    bounds = materialize(by_lang.select(F.col("lang").alias("b_lang"), "mean", "lo", "hi", "worst"), "quantiles")
-    fallback = (overall.first() or {}).asDict() if held.limit(1).count() else None
-    either = lambda name: F.coalesce(F.col(name), F.lit(fallback[f"a_{name}"] if fallback else None).cast("double"))
-    joined = scored.join(bounds, F.col("lang").eqNullSafe(F.col("b_lang")), "left").join(F.broadcast(sample.distinct()), F.col("id") == F.col("s_id"), "left")
+    by_lang = held.join(means.withColumnRenamed("lang", "m_lang"), F.col("lang").eqNullSafe(F.col("m_lang"))).withColumn("all", F.lit(False))
+    overall = held.crossJoin(F.broadcast(every)).withColumn("all", F.lit(True)).withColumn("lang", F.lit(None).cast(held.schema["lang"].dataType))
+    both = by_lang.unionByName(overall, allowMissingColumns=True).select("all", "lang", "docs", "mean", drawn(F.col("mean")).alias("score"), filled(F.col("mean")).alias("passage"))
+    found = materialize(quantiles(materialize(both, "trusted-both"), ["all", "lang"], [("score", low, "lo"), ("score", high, "hi"), ("passage", high, "worst")], ["docs", "mean"]), "quantiles")
+    bounds = found.filter(~F.col("all") & (F.col("docs") >= min_trusted)).select(F.col("lang").alias("b_lang"), "mean", "lo", "hi", "worst")
+    fallback = found.filter("all").first()
+    either = lambda name: F.coalesce(F.col(name), F.lit(fallback[name] if fallback else None).cast("double"))
+    joined = scored.join(bounds, F.col("lang").eqNullSafe(F.col("b_lang")), "left").join(broadcast_if(sample, n_sample, broadcast_rows), F.col("id") == F.col("s_id"), "left")
     joined = joined.select("id", "digest", "nll", "peak", "n", F.col("s_id").isNotNull().alias("fitted"), *[either(c).alias(c) for c in ("mean", "lo", "hi", "worst")])
     # without trusted texts there is no mean to draw to
     scores_of = (("score", drawn, F.col("nll") / F.col("n")), ("passage", filled, F.col("peak") / F.least("n", F.lit(passage))))

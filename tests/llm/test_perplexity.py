@@ -176,3 +176,33 @@ def test_decisions_against_brute_force(spark):
             assert found[i].kept == inside, (i, score, lo, hi)
             checked += 1
     assert checked > 500 and 0.5 < sum(r.kept for r in found.values()) / len(found) < 0.95
+
+
+def test_every_trusted_text_is_counted_or_held_out(spark, monkeypatch):
+    """Of 3,201 trusted texts of a language 1,601 are counted, and the others, all of them, set the quantiles."""
+    counted, real = [], perplexity.fit
+    monkeypatch.setattr(perplexity, "fit", lambda texts: counted.append(texts.count()) or real(texts))
+    docs = spark.range(3_201 + 7).selectExpr("id as doc_id", "concat('text ', id) as text", "if(id < 3201, 'en', null) as lang")
+    labels = docs.selectExpr("doc_id", "1 as quality", "0 as toxic")
+    assert perplexity.classify(docs, labels).count() == 3_208
+    assert counted == [1_601 + 4]
+
+
+def test_counted_half_by_brute_force(spark):
+    rows = spark.range(900).selectExpr("id as doc_id", "if(id % 3 = 0, null, concat('l', id % 3)) as lang")
+    by_lang = defaultdict(list)
+    for r in rows.withColumn("hash", F.xxhash64("doc_id")).collect():
+        by_lang[r.lang].append((r.hash, r.doc_id))
+    for most in (None, 7):
+        want = {(i, lang) for lang, ids in by_lang.items() for _, i in sorted(ids)[: most or 150]}
+        assert {tuple(r) for r in perplexity.counted_half(rows, most).collect()} == want
+
+
+def test_quantiles_are_the_values_at_their_places(spark):
+    rng = np.random.default_rng(4)
+    values = {"a": rng.normal(size=60_001), None: np.round(rng.normal(size=700), 1), "b": np.ones(1)}
+    rows = spark.createDataFrame([(g, float(v), len(vs)) for g, vs in values.items() for v in vs], "g string, x double, n long")
+    wanted = [("x", 0.005, "lo"), ("x", 0.7, "mid"), ("x", 0.995, "hi"), ("x", 0.9999, "top")]
+    for r in perplexity.quantiles(rows, ["g"], wanted, ["n"]).collect():
+        vs = np.sort(values[r.g])
+        assert r.n == len(vs) and [r.lo, r.mid, r.hi, r.top] == [vs[max(0, -int(-q * len(vs) // 1) - 1)] for _, q, _ in wanted]
