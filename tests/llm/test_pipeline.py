@@ -68,3 +68,12 @@ def test_run_and_registration(spark, steps):
     again = corpus_pipeline.run(spark, FOLDER)
     key = ["doc_id", "start", "n_tokens", "ids_crc32"]
     assert sorted(map(tuple, again.select(key).collect())) == sorted(map(tuple, steps[-1].select(key).collect()))
+
+
+def test_classifier_counts_half_of_the_trusted_texts(spark, monkeypatch, tmp_path):
+    counted, real = [], perplexity.fit
+    monkeypatch.setattr(perplexity, "fit", lambda texts: counted.append(texts.count()) or real(texts))
+    docs = spark.range(3_400).selectExpr("id as doc_id", "concat('text ', id) as text", "'en' as lang", "'a' as source")
+    docs.selectExpr("doc_id", "1 as quality", "0 as toxic").write.parquet(f"file://{tmp_path}/labels.parquet")
+    found = corpus_pipeline.quality_classifier(spark, docs, f"file://{tmp_path}")
+    assert counted == [1_700] and found.columns == docs.columns
