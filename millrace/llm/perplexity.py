@@ -3,31 +3,38 @@
 Model. Trusted texts (labelled good and not toxic) are counted in n-grams of `ORDER` symbols; a symbol is a lower-cased
 character of 12 bits, with white space as one blank, digits as one symbol, and code points from 3072 up folded into 1023
 symbols, so that an n-gram of five is one exact long. Continuation counts of the shorter orders, count-of-count
-discounts, context totals and back-off weights are aggregations and joins of these count tables. Every trusted document
-has a part: the half of a language's with the smallest hashes of their ids is counted, however many they are, and the
-others are held out, all of them, for the quantiles. `per_lang` bounds the counted ones for a caller who wants that.
+discounts, context totals and back-off weights are aggregations and joins of these count tables. Three models come from
+two tables of n-gram counts: of the half of each language's trusted documents with the smallest hashes of their ids, of
+the other half, and of all of them, whose counts are the sums. The model of all judges the other documents; a trusted one
+is judged by the model of the half that it isn't in. So every trusted text is counted, and every one's score is that of a
+text its model has not seen, which the quantiles need. `per_lang` bounds the counted ones for a caller who wants that: then
+one model of these judges all, and the other trusted documents set the quantiles.
 
 Scoring. Documents are dealt to blocks by a hash of id and text. Each block asks once for each distinct n-gram of its
 documents; the requests are dealt to shards by the last two symbols of the context, which all the counts that an n-gram
 needs share (unigram and bigram tables are small and go to every shard). Each shard joins its requests with its part of
 the count tables and answers with log probabilities, and the block, joined with its answers, sums them per document.
 So each block sends its n-gram types, not its tokens, and nothing is sent to all tasks. A larger model has more shards,
-and with more blocks a shard's requests are split into more slices, each of which gets a copy of the shard.
+and with more blocks a shard's requests are split into more slices, each of which gets a copy of the shard. A block's
+documents are judged by one model; each model has shards of its own.
 
 Decision. The score is the mean negative log probability of a symbol, drawn towards the language's trusted mean by
 `prior` symbols, so that a few words can't be far out. A second score sees short bad passages that the mean dilutes: the
 largest mean over `passage` symbols in a row, a shorter text filled up with the trusted mean. A document is kept if its
-score is between two quantiles of the held-out trusted documents of its language, and its passage score is at most their
-upper quantile. A quantile is the exact value at its place: a sketch only tells which values need to be counted. The lower quantile isn't asked of the documents of the fit, whose perplexity is low for having been counted.
+score is between two quantiles of the trusted documents of its language, and its passage score is at most their upper
+quantile. A quantile is the exact value at its place: a sketch only tells which values need to be counted. With `per_lang`
+the lower quantile isn't asked of the counted documents, whose perplexity is low for having been counted.
 
 Edge cases: null and empty texts have no score and are rejected; a null language is one language; languages with fewer
-than `min_trusted` trusted documents use the quantiles of all; with no trusted text at all nothing is scored against,
-and every document with text is kept; repeated rows each keep a row; labels given twice must agree to count as trusted;
+than `min_trusted` trusted documents use the quantiles of all; with no trusted text, or none in the second half, nothing
+is scored against, and every document with text is kept; repeated rows each keep a row; labels given twice must agree to count as trusted;
 an empty table gives an empty result; columns of any name pass through.
 """
 
 from __future__ import annotations
 
+import bisect
+import functools
 import zlib
 
 import numpy as np
@@ -128,9 +135,8 @@ def unpack(data: bytes, dtype: str) -> np.ndarray:
     return np.frombuffer(zlib.decompress(data), dtype)
 
 
-def fit(texts: DataFrame) -> DataFrame:
-    """The model of all given texts (column text): order, key, alpha (its own share of the probability) and, for
-    contexts, order, key, gamma (the share of the shorter order); kind says which. Shards are set for both."""
+def ngram_counts(texts: DataFrame) -> DataFrame:
+    """The n-grams of all given texts (column text): key, c."""
 
     def count(batches):
         for batch in batches:
@@ -138,8 +144,23 @@ def fit(texts: DataFrame) -> DataFrame:
             keys, ids, _ = ngrams(stream)
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(np.bincount(ids, minlength=len(keys)), pa.int64())], names=["key", "c"])
 
-    counts = texts.select("text").mapInArrow(count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
-    counts = materialize(counts.select(F.lit(ORDER).alias("order"), "key", "c"), "kn-counts")
+    return materialize(texts.select("text").mapInArrow(count, "key long, c long").groupBy("key").agg(F.sum("c").alias("c")), "kn-ngrams")
+
+
+def fit(texts: DataFrame) -> DataFrame:
+    """The model of all given texts (column text)."""
+    return estimated(ngram_counts(texts))
+
+
+def counted(model: DataFrame) -> DataFrame:
+    """The n-gram counts that a model was estimated from."""
+    return model.filter((F.col("kind") == "a") & (F.col("order") == ORDER)).select("key", "c")
+
+
+def estimated(ngrams_of: DataFrame) -> DataFrame:
+    """The model of n-gram counts (key, c): order, key, value, c; kind a has the n-gram's own share of the probability and
+    its count, kind g, for contexts, the share of the shorter order. Shards are set for both."""
+    counts = ngrams_of.select(F.lit(ORDER).alias("order"), "key", "c")
     tables = [counts]
     for order in range(ORDER - 1, 0, -1):
         shorter = F.col("key").bitwiseAND(F.lit((1 << BITS * order) - 1))
@@ -158,14 +179,14 @@ def fit(texts: DataFrame) -> DataFrame:
         discount = F.when(F.col("order") == order, own).otherwise(discount)
     entries = everything.withColumn("d", discount).withColumn("context", F.shiftright("key", BITS))
     contexts = entries.groupBy("order", "context").agg(F.sum("c").alias("total"), F.sum("d").alias("held"))
-    alphas = entries.join(contexts.drop("held"), ["order", "context"]).select(F.lit("a").alias("kind"), "order", "key", ((F.col("c") - F.col("d")) / F.col("total")).alias("value"))
-    gammas = contexts.select(F.lit("g").alias("kind"), "order", F.col("context").alias("key"), (F.col("held") / F.col("total")).alias("value"))
+    alphas = entries.join(contexts.drop("held"), ["order", "context"]).select(F.lit("a").alias("kind"), "order", "key", ((F.col("c") - F.col("d")) / F.col("total")).alias("value"), "c")
+    gammas = contexts.select(F.lit("g").alias("kind"), "order", F.col("context").alias("key"), (F.col("held") / F.col("total")).alias("value"), F.lit(None).cast("long").alias("c"))
     model = materialize(alphas.unionByName(gammas), "kn-model")
     last_two = F.when(F.col("kind") == "a", F.shiftright("key", BITS)).otherwise(F.col("key")).bitwiseAND(F.lit((1 << 2 * BITS) - 1))
     everywhere = F.col("order") <= 2
     count = SHARDS * max(1, -(-model.filter(~everywhere).count() // (SHARDS * SHARD_ROWS)))
     shards = F.when(everywhere, F.sequence(F.lit(0), F.lit(count - 1))).otherwise(F.array(shard_column("last_two", count)))
-    return materialize(model.withColumn("last_two", last_two).select("kind", "order", "key", "value", F.explode(shards).alias("shard")), "kn-shards")
+    return materialize(model.withColumn("last_two", last_two).select("kind", "order", "key", "value", "c", F.explode(shards).alias("shard")), "kn-shards")
 
 
 def probabilities(keys: np.ndarray, model: pa.Table) -> np.ndarray:
@@ -200,16 +221,19 @@ def peaks(summed: np.ndarray, starts: np.ndarray, lengths: np.ndarray, size: int
     return np.where(lengths < size, summed[starts] - summed[starts + lengths], largest)
 
 
-def scores(docs: DataFrame, model: DataFrame, *, id_col: str, text_col: str, keep: tuple[str, ...] = (), passage: int = PASSAGE) -> DataFrame:
+def scores(docs: DataFrame, *models: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...] = (), passage: int = PASSAGE, by: Column | None = None) -> DataFrame:
     """A row per document: id, the kept columns, nll (summed negative log probability), peak (that of the
-    passage where it is largest), n (symbols)."""
-    own = docs.select(F.col(id_col).alias("id"), *keep, text_of(text_col).alias("text"))
-    total = own.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-total // BLOCK_CHARS))
+    passage where it is largest), n (symbols). by tells which of the models judges a document, 0 the first."""
+    own = docs.select(F.col(id_col).alias("id"), *keep, text_of(text_col).alias("text"), (F.lit(0) if by is None else by).alias("model"))
+    totals = {r["model"]: r["size"] or 0 for r in own.groupBy("model").agg(F.sum(F.octet_length("text")).alias("size")).collect()}
+    # each model's blocks, shards, and slices of a shard; blocks and slots of a model follow those of the one before
+    blocks = [max(1, -(-totals.get(m, 0) // BLOCK_CHARS)) for m in range(len(models))]
     # unigrams are in every shard, so that the last one has rows
-    last = model.agg(F.max("shard")).first()[0]
-    shards = SHARDS if last is None else last + 1
-    slices = max(1, blocks * SHARDS // (256 * shards))
+    lasts = [model.agg(F.max("shard")).first()[0] for model in models]
+    shards = [SHARDS if last is None else last + 1 for last in lasts]
+    slices = [max(1, b * SHARDS // (256 * s)) for b, s in zip(blocks, shards)]
+    first_block = [sum(blocks[:m]) for m in range(len(models))]
+    first_slot = [sum(s * n for s, n in zip(shards[:m], slices[:m])) for m in range(len(models))]
     keep_fields = [f for f in own.schema.fields if f.name in keep]
     types = f"block long, id {own.schema['id'].dataType.simpleString()}, " + "".join(f"{f.name} {f.dataType.simpleString()}, " for f in keep_fields) + "data binary"
 
@@ -220,18 +244,26 @@ def scores(docs: DataFrame, model: DataFrame, *, id_col: str, text_col: str, kee
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("block", "id", *keep)), data], names=["block", "id", *keep, "data"])
         release_memory()
 
-    blocked = own.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))
+    among = F.lit(None).cast("long")
+    for m, (b, at) in enumerate(zip(blocks, first_block)):
+        among = F.when(F.col("model") == m, F.pmod(F.xxhash64("id", "text"), F.lit(b)) + at).otherwise(among)
+    blocked = own.withColumn("block", among)
     dealt = blocked.select("block", "id", *keep, "text").mapInArrow(squeeze, types)
 
     def texts_of(table: pa.Table) -> list[str]:
         return [zstandard.decompress(x.as_py()).decode("utf-8", "surrogatepass") for x in table.column("data")]
 
+    def block_of(table: pa.Table) -> tuple[int, int]:
+        """The block of a table's rows, and its model."""
+        block = table.column("block")[0].as_py() if len(table) else 0
+        return block, bisect.bisect_right(first_block, block) - 1
+
     def request(table: pa.Table) -> pa.Table:
         stream, _ = symbols(texts_of(table))
         keys, _, _ = ngrams(stream)
-        block = table.column("block")[0].as_py() if len(table) else 0
-        shard = shard_of(keys, shards)
-        found = [(block, int(s), int(s) * slices + block % slices, pack(np.diff(np.sort(keys[shard == s]), prepend=0))) for s in np.unique(shard)]
+        block, m = block_of(table)
+        shard = shard_of(keys, shards[m])
+        found = [(block, int(s), first_slot[m] + int(s) * slices[m] + block % slices[m], pack(np.diff(np.sort(keys[shard == s]), prepend=0))) for s in np.unique(shard)]
         return pa.table([pa.array(c, t) for c, t in zip(zip(*found) if found else [[]] * 4, (pa.int64(), pa.int32(), pa.int64(), pa.binary()))], names=["block", "shard", "slot", "keys"])
 
     def answer(asked: pa.Table, part: pa.Table) -> pa.Table:
@@ -247,7 +279,7 @@ def scores(docs: DataFrame, model: DataFrame, *, id_col: str, text_col: str, kee
     def total_up(table: pa.Table, answers: pa.Table) -> pa.Table:
         stream, lengths = symbols(texts_of(table))
         keys, ids, at = ngrams(stream)
-        shard, logs = shard_of(keys, shards), np.zeros(len(keys))
+        shard, logs = shard_of(keys, shards[block_of(table)[1]]), np.zeros(len(keys))
         by_key = np.argsort(keys, kind="stable")
         for s, data in zip(answers.column("shard").to_pylist(), answers.column("values").to_pylist()):
             logs[by_key[shard[by_key] == s]] = unpack(data, "<u2") / -SCALE
@@ -261,14 +293,16 @@ def scores(docs: DataFrame, model: DataFrame, *, id_col: str, text_col: str, kee
         return pa.table([table.column("id"), *[table.column(c) for c in keep], pa.array(nll), pa.array(peak), pa.array(lengths)], names=["id", *keep, "nll", "peak", "n"])
 
     asked = dealt.groupBy("block").applyInArrow(request, "block long, shard int, slot long, keys binary")
-    spread = model.select("kind", "order", "key", "value", F.explode(F.sequence((F.col("shard") * slices).cast("long"), (F.col("shard") * slices + slices - 1).cast("long"))).alias("slot"))
+    slots = lambda n, at: F.sequence((F.col("shard") * n + at).cast("long"), (F.col("shard") * n + (at + n - 1)).cast("long"))
+    copies = [model.select("kind", "order", "key", "value", F.explode(slots(n, at)).alias("slot")) for model, n, at in zip(models, slices, first_slot)]
+    spread = functools.reduce(DataFrame.unionByName, copies)
     answers = asked.groupBy("slot").cogroup(spread.groupBy("slot")).applyInArrow(answer, "block long, shard int, values binary")
     out = f"id {own.schema['id'].dataType.simpleString()}, " + "".join(f"{f.name} {f.dataType.simpleString()}, " for f in keep_fields) + "nll double, peak double, n long"
     return dealt.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(total_up, out)
 
 
 def counted_half(trusted: DataFrame, per_lang: int | None = None) -> DataFrame:
-    """The rows (doc_id, lang) that the model counts: the smaller hashes of each language, half of them, rounded up.
+    """The rows (doc_id, lang) of the first half, or that the only model counts: the smaller hashes of each language, half of them, rounded up.
     Places come from counts of ranges of the hash and a window inside each range."""
     keyed = trusted.withColumn("hash", F.xxhash64("doc_id")).withColumn("range", F.shiftright("hash", 52))
     ranges = keyed.groupBy(F.col("lang").alias("r_lang"), F.col("range").alias("r_range")).agg(F.count(F.lit(1)).alias("rows"))
@@ -309,11 +343,21 @@ def classify(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
     good = labels.groupBy(F.col("doc_id").alias("l_id")).agg(F.min("quality").alias("q"), F.max("toxic").alias("t")).filter("q = 1 and t = 0").select("l_id")
     trusted = materialize(own.select("doc_id", "lang").join(good, F.col("doc_id") == F.col("l_id")).select("doc_id", "lang").distinct(), "trusted")
     sample = materialize(counted_half(trusted, per_lang).select(F.col("doc_id").alias("s_id")).distinct(), "trusted-counted")
-    n_sample = sample.count()
-    model = fit(own.join(broadcast_if(sample, n_sample, broadcast_rows), F.col("doc_id") == F.col("s_id")).select("text"))
-    scored = materialize(scores(own, model, id_col="doc_id", text_col="text", keep=("lang", "digest"), passage=passage), "perplexities")
-
-    held = scored.join(trusted.join(sample, F.col("doc_id") == F.col("s_id"), "left_anti").select(F.col("doc_id").alias("t_id")), F.col("id") == F.col("t_id"), "left_semi").filter("n > 0")
+    # half 0 is counted by the first model, half 1 by the second
+    halves = trusted.select(F.col("doc_id").alias("t_id")).distinct().join(sample, F.col("t_id") == F.col("s_id"), "left")
+    halves = materialize(halves.select("t_id", F.when(F.col("s_id").isNotNull(), 0).otherwise(1).alias("half")), "trusted-halves")
+    n_of = {r["half"]: r["count"] for r in halves.groupBy("half").count().collect()}
+    with_half = own.join(broadcast_if(halves, sum(n_of.values()), broadcast_rows), F.col("doc_id") == F.col("t_id"), "left").select(*own.columns, "half")
+    models = [fit(with_half.filter("half = 0").select("text"))]
+    crossed = per_lang is None and n_of.get(1, 0) > 0
+    if crossed:
+        rest = ngram_counts(with_half.filter("half = 1").select("text"))
+        every_text = counted(models[0]).unionByName(rest).groupBy("key").agg(F.sum("c").alias("c"))
+        models += [estimated(rest), estimated(materialize(every_text, "kn-ngrams"))]
+    judge = F.coalesce(1 - F.col("half"), F.lit(2)) if crossed else F.lit(0)
+    scored = materialize(scores(with_half, *models, id_col="doc_id", text_col="text", keep=("lang", "digest", "half"), passage=passage, by=judge), "perplexities")
+
+    held = scored.filter("n > 0").filter("half is not null" if crossed else "half = 1")
     held = materialize(held.select("lang", "nll", "peak", "n"), "trusted-scores")
     means = held.groupBy("lang").agg(F.count(F.lit(1)).alias("docs"), (F.sum("nll") / F.sum("n")).alias("mean"))
     every = held.agg(F.count(F.lit(1)).alias("docs"), (F.sum("nll") / F.sum("n")).alias("mean"))
@@ -326,8 +370,9 @@ def classify(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text
     bounds = found.filter(~F.col("all") & (F.col("docs") >= min_trusted)).select(F.col("lang").alias("b_lang"), "mean", "lo", "hi", "worst")
     fallback = found.filter("all").first()
     either = lambda name: F.coalesce(F.col(name), F.lit(fallback[name] if fallback else None).cast("double"))
-    joined = scored.join(bounds, F.col("lang").eqNullSafe(F.col("b_lang")), "left").join(broadcast_if(sample, n_sample, broadcast_rows), F.col("id") == F.col("s_id"), "left")
-    joined = joined.select("id", "digest", "nll", "peak", "n", F.col("s_id").isNotNull().alias("fitted"), *[either(c).alias(c) for c in ("mean", "lo", "hi", "worst")])
+    joined = scored.join(bounds, F.col("lang").eqNullSafe(F.col("b_lang")), "left")
+    fitted = F.lit(False) if crossed else F.coalesce(F.col("half") == 0, F.lit(False))
+    joined = joined.select("id", "digest", "nll", "peak", "n", fitted.alias("fitted"), *[either(c).alias(c) for c in ("mean", "lo", "hi", "worst")])
     # without trusted texts there is no mean to draw to
     scores_of = (("score", drawn, F.col("nll") / F.col("n")), ("passage", filled, F.col("peak") / F.least("n", F.lit(passage))))
     joined = joined.select("*", *[F.when(F.col("n") > 0, F.coalesce(of(F.col("mean")), plainly)).alias(name) for name, of, plainly in scores_of])

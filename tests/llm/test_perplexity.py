@@ -206,3 +206,51 @@ def test_quantiles_are_the_values_at_their_places(spark):
     for r in perplexity.quantiles(rows, ["g"], wanted, ["n"]).collect():
         vs = np.sort(values[r.g])
         assert r.n == len(vs) and [r.lo, r.mid, r.hi, r.top] == [vs[max(0, -int(-q * len(vs) // 1) - 1)] for _, q, _ in wanted]
+
+
+def test_every_trusted_text_is_counted_and_sets_the_quantiles(spark):
+    """A trusted text is judged by the other half's model, any other text by the model of all trusted ones, and the
+    quantiles are those of all trusted texts: against dictionaries."""
+    rng, low, high = np.random.default_rng(5), 0.1, 0.9
+    words = ["".join(rng.choice(list("abcdefg"), 4)) for _ in range(30)]
+    texts = {i: " ".join(rng.choice(words, 25)) for i in range(60)}
+    docs = spark.createDataFrame([(i, t, "en") for i, t in texts.items()], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, 1, 0) for i in range(41)] + [(i, 0, 0) for i in range(41, 45)], "doc_id long, quality int, toxic int")
+    found = {r.doc_id: r for r in perplexity.classify(docs, labels, low=low, high=high).collect()}
+    ids = [r.doc_id for r in docs.filter("doc_id < 41").orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    halves = set(ids[:21]), set(ids[21:])
+    models = [kneser_ney([texts[i] for i in sorted(h)]) for h in (*halves, ids)]
+    for i, t in texts.items():
+        judge = models[1] if i in halves[0] else models[0] if i in halves[1] else models[2]
+        assert abs(log(found[i].perplexity) - sum(-log(judge(g)) for g in grams(t)) / len(t)) < 1e-3, i
+    at = lambda values, q: sorted(values)[max(0, -int(-q * len(ids) // 1) - 1)]
+    lo, hi = (at([found[i].score for i in ids], q) for q in (low, high))
+    worst = at([found[i].passage for i in ids], high)
+    for r in found.values():
+        assert r.kept == (lo <= r.score <= hi and r.passage <= worst)
+
+
+def test_counts_of_halves_add_up(spark, documents):
+    """The model of added counts is the model of all texts."""
+    texts = documents.select("doc_id", "text").limit(60)
+    halves = [perplexity.counted(perplexity.fit(texts.filter(f"doc_id % 2 = {k}"))) for k in range(2)]
+    added = perplexity.estimated(halves[0].unionByName(halves[1]).groupBy("key").agg(F.sum("c").alias("c")))
+    row = lambda m: sorted((r.kind, r.order, r.key, r.shard, round(r.value, 9)) for r in m.collect())
+    assert row(added) == row(perplexity.fit(texts))
+
+
+def test_models_do_not_share_shards_or_blocks(spark, documents, monkeypatch):
+    """Documents dealt to three models get the scores that each model alone gives them, with any number of blocks."""
+    models = [perplexity.fit(documents.filter(f"doc_id % 5 = {k}").select("text")) for k in range(3)]
+    alone = [{r.id: round(r.nll, 6) for r in perplexity.scores(documents, m, id_col="doc_id", text_col="text").collect()} for m in models]
+    for size in (perplexity.BLOCK_CHARS, 1_000):
+        monkeypatch.setattr(perplexity, "BLOCK_CHARS", size)
+        found = perplexity.scores(documents, *models, id_col="doc_id", text_col="text", by=(F.col("doc_id") % 3).cast("int")).collect()
+        assert len(found) == documents.count() and all(round(r.nll, 6) == alone[r.id % 3][r.id] for r in found)
+
+
+def test_one_trusted_text(spark):
+    """Nothing is left to score it or others against, and all texts stay."""
+    docs = spark.createDataFrame([(1, "one text", "en"), (2, "another", "en"), (3, "", "en")], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int")
+    assert {r.doc_id: r.kept for r in perplexity.classify(docs, labels).collect()} == {1: True, 2: True, 3: False}

@@ -77,3 +77,18 @@ def test_classifier_counts_half_of_the_trusted_texts(spark, monkeypatch, tmp_pat
     docs.selectExpr("doc_id", "1 as quality", "0 as toxic").write.parquet(f"file://{tmp_path}/labels.parquet")
     found = corpus_pipeline.quality_classifier(spark, docs, f"file://{tmp_path}")
     assert counted == [1_700] and found.columns == docs.columns
+
+
+def test_classifier_judges_by_the_counts_of_all_trusted_texts(spark, monkeypatch, tmp_path):
+    """The model that judges other texts has every symbol of the 3,400 trusted texts, those of both halves."""
+    sizes, real = [], perplexity.scores
+
+    def scores(docs, *models, **options):
+        sizes.extend(perplexity.counted(m).agg(F.sum("c")).first()[0] for m in models)
+        return real(docs, *models, **options)
+
+    monkeypatch.setattr(perplexity, "scores", scores)
+    docs = spark.range(3_500).selectExpr("id as doc_id", "concat('text ', id) as text", "'en' as lang", "'a' as source")
+    docs.filter("doc_id < 3400").selectExpr("doc_id", "1 as quality", "0 as toxic").write.parquet(f"file://{tmp_path}/labels.parquet")
+    assert corpus_pipeline.quality_classifier(spark, docs, f"file://{tmp_path}").count() > 3_300
+    assert sizes[-1] == docs.filter("doc_id < 3400").agg(F.sum(F.length("text"))).first()[0] == sum(sizes[:-1])
